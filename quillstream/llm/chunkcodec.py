@@ -1,9 +1,10 @@
-"""Token ids of long texts from a table of pre-split chunks.
+"""Token ids of long texts from tables of parts that were encoded before.
 
 A tokenizer that never merges across a blank gives each blank-separated chunk the same ids wherever
-it stands. Every distinct chunk is encoded once by the tokenizers library; texts are then put
-together from the stored id bytes. The table is emptied when it is full, so memory is bounded, and
-texts with runs of white space around a blank go to the tokenizer whole.
+it stands. A chunk is split into the tokenizer's own pieces, each distinct piece is encoded once by
+the tokenizers library, and texts are put together from the stored id bytes. Both tables keep what
+they met first and have a bound; later pieces go to a part that is emptied when it is full. Nothing
+depends on what happens to be stored. Texts that ``unsafe`` matches are encoded whole.
 """
 
 from __future__ import annotations
@@ -14,43 +15,59 @@ from collections.abc import Callable
 
 import numpy as np
 
-#: Chunks that a worker keeps at once.
-KEPT = 400_000
-#: Chunks of more characters than this are encoded but not kept.
-KEPT_CHARS = 64
+#: Entries of the tables: chunks, pieces that stay, pieces that are forgotten together.
+CHUNKS = 700_000
+PIECES = 800_000
+RECENT = 200_000
+#: Longer chunks and pieces are not kept.
+KEPT_CHARS = 48
 
 
-class ChunkTable:
-    """``encode``: id lists for a list of strings. ``blank``: what stands for a blank before a chunk.
-    ``unsafe``: texts that match it are encoded whole."""
+def pack(ids: list[int]) -> bytes:
+    return np.asarray(ids, dtype="<u4").tobytes()
+
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], unsafe: re.Pattern, blank: str = " "):
-        self.encode, self.unsafe, self.blank = encode, unsafe, blank
-        self.known: dict[str, bytes] = {}
+class ChunkTable:
+    """``whole``: ids of a text. ``pieces``: the pieces of a chunk that follows a blank.
+    ``encode``: ids of each of a list of pieces."""
 
-    @staticmethod
-    def pack(ids: list[int]) -> bytes:
-        return np.asarray(ids, dtype="<u4").tobytes()
+    def __init__(self, whole: Callable[[str], list[int]], pieces: Callable[[str], list[str]], encode: Callable[[list[str]], list[list[int]]], unsafe: re.Pattern):
+        self.whole, self.pieces, self.encode, self.unsafe = whole, pieces, encode, unsafe
+        self.chunks: dict[str, bytes] = {}
+        self.stay: dict[str, bytes] = {}
+        self.recent: dict[str, bytes] = {}
 
-    def _learn(self, missing: list[str]) -> dict[str, bytes]:
-        if len(self.known) + len(missing) > KEPT:
-            self.known.clear()
-        fresh = dict(zip(missing, map(self.pack, self.encode([self.blank + x for x in missing]))))
-        self.known.update((k, v) for k, v in fresh.items() if len(k) <= KEPT_CHARS)
-        return fresh
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
+        split = list(map(self.pieces, chunks))
+        stay, recent = self.stay, self.recent
+        fresh = [x for x in dict.fromkeys(p for parts in split for p in parts) if x not in stay and x not in recent]
+        new = dict(zip(fresh, map(pack, self.encode(fresh)))) if fresh else {}
+        get = {**new}.get
+        out = {}
+        for chunk, parts in zip(chunks, split):
+            out[chunk] = b"".join([stay.get(p) or recent.get(p) or get(p, b"") for p in parts])
+        if len(self.recent) + len(new) > RECENT:
+            self.recent.clear()
+        for piece, ids in new.items():
+            if len(piece) <= KEPT_CHARS:
+                (stay if len(stay) < PIECES else self.recent)[piece] = ids
+        if len(self.chunks) < CHUNKS:
+            self.chunks.update((k, v) for k, v in out.items() if len(k) <= KEPT_CHARS)
+        return out
 
     def encode_text(self, text: str) -> bytes:
         """The ids of ``text`` as little-endian unsigned 32-bit numbers."""
+        if not text:
+            return b""
         if self.unsafe.search(text):
-            return self.pack(self.encode([text])[0])
+            return pack(self.whole(text))
         head, *rest = text.split(" ")
-        known = self.known
-        found = list(map(known.get, rest))
+        found = list(map(self.chunks.get, rest))
         if None in found:
-            fresh = self._learn(list(dict.fromkeys(x for x, y in zip(rest, found) if y is None)))
+            fresh = self._learn(list({x: 0 for x, y in zip(rest, found) if y is None}))
             found = [fresh[x] if y is None else y for x, y in zip(rest, found)]
         if head:
-            found.insert(0, self.pack(self.encode([head])[0]))
+            found.insert(0, pack(self.whole(head)))
         return b"".join(found)
 
 

@@ -24,7 +24,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunkcodec import ChunkTable, crc32
+from .chunkcodec import ChunkTable, crc32, pack as packed_ids
 from .common import bounded_batches, stored
 
 CAPACITY = 2048
@@ -43,14 +43,40 @@ UNSAFE = re.compile(r"\s |^\s|\s$|[\x1c-\x1f]")
 _coders: dict[str, ChunkTable] = {}
 
 
-def coder(path: str) -> ChunkTable:
-    """This worker's chunk table for the tokenizer file at ``path``."""
-    if path not in _coders:
-        from tokenizers import Tokenizer
+def byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level vocabularies write for each byte: itself where it is
+    printable in Latin-1, else the next one from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + k) for k, b in enumerate(others)}
+
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        _coders[path] = ChunkTable(lambda texts: [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], UNSAFE)
+def coder(path: str) -> ChunkTable:
+    """This worker's chunk table for the byte-level tokenizer file at ``path``."""
+    if path in _coders:
+        return _coders[path]
+    import regex
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    model, letters = tokenizer.model, byte_letters()
+    split = regex.compile(public_tokenizers.PATTERN)
+
+    def whole(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    def pieces(chunk: str) -> list[str]:
+        if chunk.isalpha():
+            return [" " + chunk]
+        if chunk[-1:] in {".", ","} and chunk[:-1].isalpha():
+            return [" " + chunk[:-1], chunk[-1]]
+        return split.findall(" " + chunk)
+
+    def encode(parts: list[str]) -> list[list[int]]:
+        return [[x.id for x in model.tokenize(p.encode("utf-8").decode("latin-1").translate(letters))] for p in parts]
+
+    _coders[path] = ChunkTable(whole, pieces, encode, UNSAFE)
     return _coders[path]
 
 

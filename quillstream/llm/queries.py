@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, packing, toxicity
+from . import langid, neardup_vectors, packing, quality, toxicity
 from .common import table
 
 
@@ -19,14 +19,43 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.apply_rules(docs, table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup_vectors.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_toxicity": op6_toxicity,
+    "op7_quality_rules": op7_quality_rules,
     "op9_language_id": op9_language_id,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
+}
+ORACLE: dict[str, str] = {
+    "op10_embedding_near_dedup": """
+        WITH RECURSIVE fine AS (
+            SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+              AND len(list_filter(embedding, lambda v: v <> 0)) > 0
+        ), links AS (
+            SELECT p.vec_id AS a, q.vec_id AS b FROM fine p JOIN fine q
+              ON p.vec_id <> q.vec_id AND len(p.x) = len(q.x) AND list_cosine_similarity(p.x, q.x) >= 0.95
+        ), reach(a, b) AS (
+            SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+        ), least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+        degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT e.vec_id, coalesce(degree.n, 0) AS n_links, least(e.vec_id, coalesce(least.b, e.vec_id)) AS component_id,
+               e.vec_id = least(e.vec_id, coalesce(least.b, e.vec_id)) AS kept
+        FROM embeddings e LEFT JOIN least ON least.a = e.vec_id LEFT JOIN degree ON degree.a = e.vec_id
+    """,
 }
-ORACLE: dict[str, str] = {}
