@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, neardup_vectors, packing, quality, toxicity
+from . import jaccard_join, langid, neardup_vectors, packing, quality, toxicity
 from .common import table
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_toxicity": op6_toxicity,
     "op7_quality_rules": op7_quality_rules,
