@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard_join, langid, neardup_vectors, packing, quality, toxicity
+from . import jaccard_join, langid, neardup_vectors, packing, quality, substring_dedup, toxicity
 from .common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -39,6 +45,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_toxicity": op6_toxicity,

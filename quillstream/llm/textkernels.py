@@ -78,18 +78,35 @@ class Words:
         return out
 
 
-def windows(words: Words, hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts (word numbers) of all ``width``-word windows that lie in one text, and their hashes."""
+def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of ``width`` words, whichever texts they lie in."""
     n = len(hashes) - width + 1
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64)
     h = np.zeros(n, np.uint64)
     for k in range(width):
         h *= U(0xD6E8FEB86659FD93)
         h += hashes[k : k + n]
-    last = np.searchsorted(words.first, np.arange(n), side="right")  # end of the text that holds the word
-    starts = np.flatnonzero(np.arange(n) + width <= words.first[np.minimum(last, len(words.first) - 1)])
-    return starts, mix(h[starts])
+    return mix(h)
+
+
+def whole_starts(words: Words, width: int) -> np.ndarray:
+    """Starts of the runs of ``width`` words that lie in one text."""
+    n = len(words) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    open_ = np.ones(n + width, bool)
+    sizes = np.diff(words.first)
+    for k in range(1, width):  # the last width - 1 words of each text start none
+        at = words.first[1:] - k
+        open_[at[(sizes >= k)]] = False
+    return np.flatnonzero(open_[:n])
+
+
+def windows(words: Words, hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts (word numbers) of all ``width``-word windows that lie in one text, and their hashes."""
+    starts = whole_starts(words, width)
+    return starts, rolling(hashes, width)[starts]
 
 
 def covered(length: int, starts: np.ndarray, width: int) -> np.ndarray:
