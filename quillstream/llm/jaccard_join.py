@@ -1,11 +1,14 @@
 """Word-shingle Jaccard join by T-occurrence search with DivideSkip, and its components.
 
-1. A sketch counts all documents' shingles by hash cell; its logarithms rank shingles, rare first.
-   Any fixed order gives complete results; this one keeps frequent shingles out of prefixes.
-2. Documents with the same shingles are one class. A class is posted under the shingles of its
-   prefix, the n - ceil(t n) + 1 rarest of its n: two sets with Jaccard t or more share at least
-   ceil(t n) shingles of either, hence one of the prefix. Classes that share a posted shingle are
-   connected to the least of them, and the components of these are candidate families.
+1. Shingles of every sixth hash value are counted over all documents; a Bloom filter keeps those
+   that stand in two or more. A sampled shingle outside the filter stands in one document alone.
+   All shingles are ordered: such lone ones first, then the sampled others, then the rest, each by
+   hash. Any fixed order gives complete results; this one keeps frequent shingles out of prefixes.
+2. Two sets with Jaccard t or more share at least ceil(t n) of either's n shingles, hence one of the
+   first n - ceil(t n) + 1, the prefix. A document whose prefix is made of lone shingles links with
+   no other text and is set aside. Documents with the same shingles are one class; the other classes
+   are posted under their prefixes, those that share a posted shingle are connected to the least of
+   them, and the components of these are candidate families.
 3. In a family every class is searched for in the inverted lists of the others: lists are divided
    into the longest, which are probed by binary search, and the rest, which are heap-merged with
    skips; what reaches the required overlap is compared exactly, and links are merged at once.
@@ -21,7 +24,6 @@ than doc_id and text are ignored.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
@@ -33,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import holds, key_filter
 from .common import bounded_batches, spans, stored, utf8
 from .components import components
 from .textkernels import LOWER, Words, mix, windows
@@ -40,8 +43,8 @@ from .textkernels import LOWER, Words, mix, windows
 WIDTH = 3
 #: Similarity in hundredths.
 PERCENT = 90
-CELL_BITS = 20
-SKETCH_BLOCKS = 16
+#: One of so many hash values is counted.
+SAMPLE = 6
 SPAN = 1 << 20
 BLOCK = 1024
 #: Shingles of one search task, on average.
@@ -77,61 +80,59 @@ def each_set(batch: pa.RecordBatch, column: int, width: int) -> Iterator[np.ndar
         yield from shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width)
 
 
-def _total(pdf: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(zlib.decompress(x), np.int64) for x in pdf["counts"])
-    return pd.DataFrame({"block": pdf["block"].iloc[:1], "counts": [zlib.compress(total.tobytes(), 1)]})
+def sampled(shingles: np.ndarray) -> np.ndarray:
+    return shingles % np.uint64(SAMPLE) == 0
 
 
-def frequency_classes(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
-    """Of each hash cell the logarithm of its count of shingles over all documents."""
-    cells = 1 << CELL_BITS
+def repeated_filter(docs: DataFrame, width: int = WIDTH) -> np.ndarray | None:
+    """Bloom filter of the sampled shingles that stand in two or more of the documents."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(cells, np.int64)
-        some = False
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held: list[np.ndarray] = []
-            for s in each_set(batch, 0, width):
-                held.append(s & np.uint64(cells - 1))
+            held = [s[sampled(s)] for s in each_set(batch, 0, width)]
             if held:
-                total += np.bincount(np.concatenate(held).astype(np.int64), minlength=cells)
-                some = True
-        if some:
-            blobs = [zlib.compress(x.tobytes(), 1) for x in np.split(total, SKETCH_BLOCKS)]
-            yield pa.RecordBatch.from_pydict({"block": pa.array(range(SKETCH_BLOCKS), pa.int32()), "counts": pa.array(blobs, pa.binary())})
-
-    schema = "block int, counts binary"
-    rows = docs.select(F.col("text").cast("string")).mapInArrow(count, schema).groupBy("block").applyInPandas(_total, schema).orderBy("block").collect()
-    if not rows:
-        return np.zeros(cells, np.uint8)
-    counts = np.concatenate([np.frombuffer(zlib.decompress(bytes(x["counts"])), np.int64) for x in rows])
-    return np.log2(counts + 1).astype(np.uint8)
-
-
-def prefix(shingles: np.ndarray, classes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The rarest shingles, one of which any set of that similarity shares."""
-    n = len(shingles)
-    keep = n - -(-percent * n // 100) + 1 if n else 0
-    rank = classes[(shingles & np.uint64(len(classes) - 1)).astype(np.int64)]
-    return shingles[np.lexsort((shingles, rank))[:keep]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64))], names=["key"])
 
+    keys = docs.select("text").mapInArrow(run, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("key")
+    return key_filter(stored(keys))
 
-def signatures(docs: DataFrame, classes: np.ndarray, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n (shingles), key (of the whole set, null if it is empty), prefix."""
-    shared = docs.sparkSession.sparkContext.broadcast(classes)  # of fixed size
+
+def prefix(shingles: np.ndarray, repeated: np.ndarray | None, percent: int = PERCENT) -> np.ndarray:
+    """The shingles of the prefix that may stand in another set; none if all of them are lone."""
+    n = len(shingles)
+    keep = n - -(-percent * n // 100) + 1 if n else 0
+    inside = sampled(shingles)
+    chosen, others = shingles[inside], shingles[~inside]
+    if repeated is not None and len(chosen):
+        known = holds(repeated, chosen)
+        keep -= len(chosen) - int(known.sum())
+        chosen = chosen[known]
+    if keep <= 0:
+        return shingles[:0]
+    return np.concatenate([chosen, others])[:keep]  # both parts are sorted by hash
+
+
+def signatures(docs: DataFrame, repeated: np.ndarray | None, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n (shingles), key (of the whole set, null if it is empty), prefix, and the shingles
+    themselves where the prefix isn't empty."""
+    shared = docs.sparkSession.sparkContext.broadcast(repeated)  # of at most 2 bytes for each of bloom.MOST keys
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, keys, posted = [], [], []
+            n, keys, posted, blobs = [], [], [], []
             for s in each_set(batch, 1, width):
                 n.append(len(s))
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 posted.append(prefix(s, shared.value, percent).view(np.int64))
+                blobs.append(s.tobytes() if len(posted[-1]) else None)
             ends = np.concatenate([[0], np.cumsum([len(x) for x in posted])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(posted) if posted else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), lists], names=["doc_id", "n", "key", "prefix"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), lists, pa.array(blobs, pa.binary())],
+                names=["doc_id", "n", "key", "prefix", "shingles"],
+            )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n long, key binary, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key binary, prefix array<long>, shingles binary")
 
 
 class Lists:
@@ -245,25 +246,14 @@ def _search(percent: int):
     return run
 
 
-def _with_sets(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id and shingles (binary) of each row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            blobs = [s.tobytes() for s in each_set(batch, 1, width)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], names=["doc_id", "shingles"])
-
-    return docs.mapInArrow(run, "doc_id long, shingles binary")
-
-
 def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     bounded_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = stored(signatures(docs, frequency_classes(docs, width), width, percent))
+    signed = stored(signatures(docs, repeated_filter(docs, width), width, percent))
     classes = stored(signed.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("rep")))
-    reps = signed.join(classes.withColumnRenamed("rep", "doc_id"), ["key", "doc_id"]).select("doc_id", "n", "prefix")
+    reps = signed.where("size(prefix) > 0").select("key", "doc_id", "prefix").join(classes.withColumnRenamed("rep", "doc_id"), ["key", "doc_id"])
     posted = reps.select("doc_id", F.explode("prefix").alias("shingle"))
     shared = posted.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.min("doc_id").alias("least")).where("df > 1").select("shingle", "least")
     candidates = posted.join(stored(shared), "shingle").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
@@ -275,7 +265,7 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int
     members = members.withColumn("blocks", F.ceil(F.col("members") / block).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     # Small families share tasks; a large one has a task for each pair of its blocks.
     members = members.withColumn("bundle", F.when(F.col("blocks") > 1, -1 - F.col("family")).otherwise(F.pmod(F.xxhash64("family"), F.lit(bundles))))
-    sets = _with_sets(docs.join(members.select("doc_id").distinct(), "doc_id").select("doc_id", "text"), width).dropDuplicates(["doc_id", "shingles"])
+    sets = signed.where("shingles is not null").join(classes.withColumnRenamed("rep", "doc_id"), ["key", "doc_id"]).select("doc_id", "shingles")
     dealt = sets.join(members, "doc_id").withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("bundle", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "family", "doc_id", "shingles")
     links = stored(dealt.groupBy("bundle", "i", "j").applyInPandas(_search(percent), "a long, b long"))

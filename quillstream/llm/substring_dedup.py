@@ -2,7 +2,7 @@
 
 1. A window is keyed by the least hash of the ``ANCHOR``-word runs in it; consecutive windows with
    the same key are a stretch. Keys of one stretch alone cannot belong to a repeated window and are
-   left out from here on (by a Bloom filter while the repeated keys are few enough, else later).
+   left out from here on (by a Bloom filter, while the repeated keys are few enough for one).
 2. Stretches are counted whole, and the windows of distinct stretches are counted one by one, both
    aggregated before the shuffle: what stands twice or more, in whatever texts, is confirmed.
 3. Texts are dealt over shards by a hash. Each shard gets one place in its own texts of every
@@ -20,17 +20,16 @@ without a doc_id are treated like others; an empty table gives no rows; further
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .bloom import holds, key_filter
 from .common import bounded_batches, spans, stored, utf8
 from .textkernels import STEP, Words, mix, rolling, whole_starts
 
@@ -40,9 +39,6 @@ ANCHOR = 8
 STRETCH = 2048
 #: Texts of a shard, on average.
 SHARD_ROWS = 1000
-#: Beyond this many repeated keys no Bloom filter is sent; all stretches are then counted.
-FILTER_KEYS = 16_000_000
-FILTER_BLOCKS = 32
 #: Windows at most in a stretch whose key stands in it once.
 NEAR = WIDTH - ANCHOR + 1
 SPAN = 1 << 20
@@ -109,39 +105,6 @@ def each_span(batch: pa.RecordBatch, column: int, width: int) -> Iterator[tuple[
         yield a, Stretches(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width)
 
 
-def _bits(keys: np.ndarray, size: int) -> np.ndarray:
-    """The cells of a Bloom filter of ``size`` bits that the keys set."""
-    return np.concatenate([mix(keys) % U(size), mix(keys + STEP) % U(size)]).astype(np.int64)
-
-
-def key_filter(keys: DataFrame, n: int) -> np.ndarray:
-    """Bloom filter of the column ``key``, 16 bits a key; put together block by block."""
-    size = max(1 << 16, -(-16 * n // (8 * FILTER_BLOCKS)) * 8 * FILTER_BLOCKS)
-    schema = "block int, bits binary"
-
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(size, bool)
-        for batch in batches:
-            cells[_bits(batch.column(0).to_numpy().view(np.uint64), size)] = True
-        if cells.any():
-            blobs = [zlib.compress(x.tobytes(), 1) for x in np.split(np.packbits(cells), FILTER_BLOCKS)]
-            yield pa.RecordBatch.from_pydict({"block": pa.array(range(FILTER_BLOCKS), pa.int32()), "bits": pa.array(blobs, pa.binary())})
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        all_ = np.bitwise_or.reduce([np.frombuffer(zlib.decompress(x), np.uint8) for x in pdf["bits"]])
-        return pd.DataFrame({"block": pdf["block"].iloc[:1], "bits": [zlib.compress(all_.tobytes(), 1)]})
-
-    rows = keys.select("key").mapInArrow(part, schema).groupBy("block").applyInPandas(merge, schema).orderBy("block").collect()
-    packed = [np.frombuffer(zlib.decompress(bytes(x["bits"])), np.uint8) for x in rows]
-    return np.concatenate(packed) if packed else np.zeros(size // 8, np.uint8)
-
-
-def _holds(packed: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    cells = _bits(keys, 8 * len(packed))
-    seen = (packed[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8)) & 1
-    return (seen[: len(keys)] & seen[len(keys) :]).astype(bool)
-
-
 def stretch_keys(texts: DataFrame, width: int) -> DataFrame:
     """key, weight of every stretch."""
 
@@ -156,13 +119,13 @@ def stretch_keys(texts: DataFrame, width: int) -> DataFrame:
 def stretch_rows(texts: DataFrame, width: int, packed: np.ndarray | None, with_windows: bool) -> DataFrame:
     """stretch (identity), row, shard, pos, n (windows) of the stretches whose keys the filter holds;
     their windows too, if asked for."""
-    shared = texts.sparkSession.sparkContext.broadcast(packed)  # at most 2 bytes for each of FILTER_KEYS
+    shared = texts.sparkSession.sparkContext.broadcast(packed)  # of at most 2 bytes for each of bloom.MOST keys
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, shard = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             for a, s in each_span(batch, 0, width):
-                use = np.arange(len(s.key)) if shared.value is None else np.flatnonzero(_holds(shared.value, s.key))
+                use = np.arange(len(s.key)) if shared.value is None else np.flatnonzero(holds(shared.value, s.key))
                 size = np.diff(s.first)[use]
                 columns = [
                     pa.array(s.identities()[use].view(np.int64)),
@@ -187,11 +150,8 @@ def confirmed(texts: DataFrame, width: int = WIDTH) -> DataFrame:
     """For each shard and stretch with a repeated window: one place (row, pos), n, and which of its
     windows are repeated (``some``: their numbers, null: all)."""
     keys = stored(stretch_keys(texts, width).groupBy("key").agg(F.sum("weight").alias("w")).where("w > 1").select("key"))
-    n = keys.count()
-    packed = key_filter(keys, n) if n <= FILTER_KEYS else None
+    packed = key_filter(keys)
     found = stretch_rows(texts, width, packed, True).groupBy("stretch").agg(F.count(F.lit(1)).alias("times"), F.first("windows").alias("windows"))
-    if packed is None:
-        found = found.where("times > 1 or size(windows) > 0")
     found = stored(found)
     counts = found.select("times", F.explode("windows").alias("window")).groupBy("window").agg(F.sum("times").alias("times")).where("times > 1")
     once = found.where("times = 1").select("stretch", F.posexplode("windows").alias("at", "window"))
