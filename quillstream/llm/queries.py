@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, langid, neardup_vectors, packing, quality, substring_dedup, toxicity
+from . import chat, jaccard_join, langid, neardup_vectors, packing, quality, sentencepiece_codec, sharding, substring_dedup, toxicity
 from .common import table
 
 
@@ -16,10 +16,19 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.summary(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return placed.select("doc_id", "n_bytes", F.col("depth").cast("int").alias("depth"), "shard", "shard_bytes")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -35,6 +44,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
@@ -44,16 +57,41 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup_vectors.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_sharding": op4_sharding,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_toxicity": op6_toxicity,
     "op7_quality_rules": op7_quality_rules,
+    "op8_chat_formatting": op8_chat_formatting,
     "op9_language_id": op9_language_id,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "pipeline": pipeline,
 }
 ORACLE: dict[str, str] = {
+    "op4_sharding": f"""
+        WITH hashed AS (
+            SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT AS n_bytes,
+                   ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents
+        ), every AS (
+            SELECT d AS depth, h >> ({sharding.DEPTH} - d) AS bucket, sum(n_bytes)::BIGINT AS bytes
+            FROM hashed, range(0, 25) r(d) GROUP BY ALL
+        ), leaf AS (
+            SELECT e.depth, e.bucket, e.bytes FROM every e LEFT JOIN every p ON p.depth = e.depth - 1 AND p.bucket = e.bucket >> 1
+            WHERE e.bytes <= {sharding.LIMIT} AND (p.bytes IS NULL OR p.bytes > {sharding.LIMIT})
+        )
+        SELECT doc_id, n_bytes, depth::INTEGER AS depth,
+               CASE WHEN depth = 0 THEN '' ELSE lpad(bin(bucket), depth::INTEGER, '0') END AS shard, bytes AS shard_bytes
+        FROM hashed JOIN leaf ON leaf.bucket = h >> ({sharding.DEPTH} - depth)
+    """,
     "op10_embedding_near_dedup": """
         WITH RECURSIVE fine AS (
             SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings

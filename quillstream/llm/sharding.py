@@ -34,11 +34,6 @@ def key_hash(key: Column) -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def prefix(h: Column, depth: Column | int) -> Column:
-    """The first ``depth`` bits of the hash."""
-    return F.expr("1").cast("long") * F.floor(h / F.pow(F.lit(2.0), F.lit(DEPTH) - depth)) if not isinstance(depth, int) else F.shiftright(h, DEPTH - depth)
-
-
 def directory(rows: DataFrame, limit: int) -> DataFrame:
     """Leaves (depth, bucket, bytes) of the rows ``h``, ``bytes``."""
     total = rows.agg(F.sum("bytes")).first()[0] or 0
