@@ -7,12 +7,12 @@
 2. Two sets with Jaccard t or more share at least ceil(t n) of either's n shingles, hence one of the
    first n - ceil(t n) + 1, the prefix. A document whose prefix is made of lone shingles links with
    no other text and is set aside. Documents with the same shingles are one class; the other classes
-   are posted under their prefixes, those that share a posted shingle are connected to the least of
-   them, and the components of these are candidate families.
+   are posted under their prefixes and bands of size; those that share a posted shingle and a band are
+   connected to the least of them, and the components of these are candidate families.
 3. In a family every class is searched for in the inverted lists of the others: lists are divided
    into the longest, which are probed by binary search, and the rest, which are heap-merged with
    skips; what reaches the required overlap is compared exactly, and links are merged at once.
-   Families of more than ``block`` classes are dealt over pairs of blocks.
+   Families of more than ``block`` classes are searched band by band, large bands by pairs of blocks.
 4. Components of the links give each document the least doc_id that it reaches.
 
 Defined cases: null and empty texts and texts without a word have no shingles and link with nothing;
@@ -24,6 +24,7 @@ than doc_id and text are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
@@ -49,6 +50,8 @@ SPAN = 1 << 20
 BLOCK = 1024
 #: Shingles of one search task, on average.
 TASK_SHINGLES = 1_000_000
+#: Bands are this much wider than the similarity needs, for rounding.
+BAND = 1.001
 #: DivideSkip's constant that balances probes against merges.
 MU = 0.0085
 
@@ -253,22 +256,30 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = stored(signatures(docs, repeated_filter(docs, width), width, percent))
     classes = stored(signed.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("rep")))
-    reps = signed.where("size(prefix) > 0").select("key", "doc_id", "prefix").join(classes.withColumnRenamed("rep", "doc_id"), ["key", "doc_id"])
-    posted = reps.select("doc_id", F.explode("prefix").alias("shingle"))
-    shared = posted.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.min("doc_id").alias("least")).where("df > 1").select("shingle", "least")
-    candidates = posted.join(stored(shared), "shingle").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
+    reps = signed.where("size(prefix) > 0").select("key", "doc_id", "n", "prefix").join(classes.withColumnRenamed("rep", "doc_id"), ["key", "doc_id"])
+    # Linked sets differ in size by the similarity at most, so they share one of their two bands.
+    bands = lambda n: F.floor(F.log(n) / (BAND * math.log(100 / percent))).cast("int")
+    both = lambda n: F.explode(F.array(bands(n), bands(n) - 1))
+    posted = reps.select("doc_id", "n", F.explode("prefix").alias("shingle")).select("doc_id", "shingle", both(F.col("n")).alias("band"))
+    key = ["shingle", "band"]
+    shared = posted.groupBy(*key).agg(F.count(F.lit(1)).alias("df"), F.min("doc_id").alias("least")).where("df > 1").select(*key, "least")
+    candidates = posted.join(stored(shared), key).select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
     families = components(candidates).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
-    members = families.join(signed.where("key is not null").groupBy("doc_id").agg(F.max("n").alias("n")), "doc_id")
+    members = families.join(signed.where("shingles is not null").select("doc_id", "n").distinct(), "doc_id")
     sizes = families.groupBy("family").agg(F.count(F.lit(1)).alias("members"))
-    members = stored(members.join(sizes, "family"))
-    bundles = max(1, int((members.agg(F.sum("n")).first()[0] or 0) // TASK_SHINGLES))
-    members = members.withColumn("blocks", F.ceil(F.col("members") / block).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    # Small families share tasks; a large one has a task for each pair of its blocks.
-    members = members.withColumn("bundle", F.when(F.col("blocks") > 1, -1 - F.col("family")).otherwise(F.pmod(F.xxhash64("family"), F.lit(bundles))))
+    members = members.join(sizes, "family").withColumn("large", F.col("members") > block)
+    # Small families share tasks. A large one is searched band by band, and a band of more classes than
+    # a block by pairs of blocks.
+    members = stored(members.withColumn("band", F.explode(F.when(F.col("large"), F.array(bands(F.col("n")), bands(F.col("n")) - 1)).otherwise(F.array(F.lit(0))))))
+    groups = stored(members.where("large").groupBy("family", "band").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")))
+    members = members.join(groups, ["family", "band"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    members = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    bundles = max(1, int((signed.where("shingles is not null").agg(F.sum("n")).first()[0] or 0) // TASK_SHINGLES))
+    members = members.withColumn("bundle", F.when(F.col("large"), -1 - F.col("family")).otherwise(F.pmod(F.xxhash64("family"), F.lit(bundles))))
     sets = signed.where("shingles is not null").join(classes.withColumnRenamed("rep", "doc_id"), ["key", "doc_id"]).select("doc_id", "shingles")
     dealt = sets.join(members, "doc_id").withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bundle", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "family", "doc_id", "shingles")
-    links = stored(dealt.groupBy("bundle", "i", "j").applyInPandas(_search(percent), "a long, b long"))
+    dealt = dealt.select("bundle", "band", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "family", "doc_id", "shingles")
+    links = stored(dealt.groupBy("bundle", "band", "i", "j").applyInPandas(_search(percent), "a long, b long"))
     joined = components(links).select(F.col("node").alias("rep"), "component")
     classes = stored(classes.join(joined, "rep", "left").select("key", F.coalesce("component", "rep").alias("component")))
     out = signed.where("key is not null").select("doc_id", "n", "key").join(classes, "key", "left")
