@@ -7,15 +7,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-BOX = T.StructType([T.StructField(c, T.DoubleType()) for c in ("x0", "y0", "x1", "y1")])
-VECTOR_LINES = T.StructType.fromDDL("doc_id string, page int, x0 double, y0 double, x1 double, y1 double, text string, dx double, dy double, size double, bold boolean")
-GRIDS = T.StructType.fromDDL("doc_id string, page int, grid_no int, rows array<array<string>>").add("bbox", BOX).add("cell_boxes", T.ArrayType(T.ArrayType(BOX)))
-NETLIST = T.StructType.fromDDL(
-    "ok boolean, reason string, nets array<struct<name:string,connections:array<struct<ref:string,pin:string>>>>, no_connects array<struct<x:double,y:double,ref:string,pin:string>>"
-)
-FIGURES = T.StructType.fromDDL("doc_id string, figure_id string, page int, caption string, figure_no string, type string, kind string, source string, snap_iou double, description string").add("bbox", BOX)
+
+#: Schemas, as DDL, of what parsers and models outside Spark provide.
+BOX = "struct<x0:double,y0:double,x1:double,y1:double>"
+VECTOR_LINES = "doc_id string, page int, x0 double, y0 double, x1 double, y1 double, text string, dx double, dy double, size double, bold boolean"
+GRIDS = f"doc_id string, page int, grid_no int, rows array<array<string>>, bbox {BOX}, cell_boxes array<array<{BOX}>>"
+NETLIST = "ok boolean, reason string, nets array<struct<name:string,connections:array<struct<ref:string,pin:string>>>>, no_connects array<struct<x:double,y:double,ref:string,pin:string>>"
+FIGURES = f"doc_id string, figure_id string, page int, caption string, figure_no string, type string, kind string, source string, snap_iou double, description string, bbox {BOX}"
 
 
 def files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
