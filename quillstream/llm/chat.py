@@ -124,41 +124,56 @@ def _tables(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame(rows, columns=["conv_id", "part", "costs"]).astype({"conv_id": "Int64"})
 
 
-def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
-    """States between which each part is traced, for the parts of some conversations."""
+def _forward(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Least costs at the start of each part, and the state in which its conversation ends."""
     out = []
     for conv, own in pdf.groupby("conv_id", dropna=False, sort=False):
         own = own.sort_values("part")
-        tables = [np.array(x, np.int64).reshape(4, 4) for x in own["costs"]]
         reach = [np.array([0, INF, INF, INF], np.int64)]
-        for t in tables:
-            reach.append(np.minimum((reach[-1][:, None] + t).min(axis=0), INF))
-        ends = reach[-1] + np.array([ENDING[s][0] for s in range(4)])
-        state = int(ends.argmin())
-        rows = []
-        for k in range(len(tables) - 1, -1, -1):
-            begin = int((reach[k] + tables[k][:, state]).argmin())
-            rows.append((conv, int(own["part"].iloc[k]), begin, state, k == len(tables) - 1, k == 0))
-            state = begin
-        out += rows
-    return pd.DataFrame(out, columns=["conv_id", "part", "begin", "finish", "last", "start"]).astype({"conv_id": "Int64"})
-
-
-def trace(roles: list[int], begin: int, finish: int) -> list[tuple[int, int, str, tuple[int, ...]]]:
-    """(role, cost, action, empty turns before it) of each turn, at least cost from state to state."""
-    reach = [[INF] * 4]
-    reach[0][begin] = 0
+        for x in own["costs"]:
+            reach.append(np.minimum((reach[-1][:, None] + np.array(x, np.int64).reshape(4, 4)).min(axis=0), INF))
+        end = int((reach[-1] + np.array([ENDING[s][0] for s in range(4)])).argmin())
+        n = len(own)
+        out += [(conv, int(part), reach[k].tolist(), n, k == n - 1, end) for k, part in enumerate(own["part"])]
+    return pd.DataFrame(out, columns=["conv_id", "part", "reach", "parts", "last", "end"]).astype({"conv_id": "Int64"})
+
+
+def _backward(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The state in which each part ends, from the last part to the first."""
+    out = []
+    for conv, own in pdf.groupby("conv_id", dropna=False, sort=False):
+        own = own.sort_values("part", ascending=False)
+        state = int(own["end"].iloc[0])
+        for part, begins in zip(own["part"], own["begins"]):
+            out.append((conv, int(part), state))
+            state = int(begins[state])
+    return pd.DataFrame(out, columns=["conv_id", "part", "finish"]).astype({"conv_id": "Int64"})
+
+
+def trace(roles: list[int], reach: list[int], finish: int) -> tuple[int, list[tuple[int, int, str, tuple[int, ...]]]]:
+    """The state before the turns, and (role, cost, action, empty turns before it) of each, on the path
+    of least cost to ``finish``. Of equals the least state is taken, from the last turn back."""
+    costs = [list(reach)]
     for own in roles:
         now = [INF] * 4
         for a, b, cost, _, _ in MOVES[own]:
-            now[b] = min(now[b], reach[-1][a] + cost)
-        reach.append(now)
+            now[b] = min(now[b], costs[-1][a] + cost)
+        costs.append(now)
     out, state = [], finish
     for k in range(len(roles) - 1, -1, -1):
-        a, _, cost, action, between = min((m for m in MOVES[roles[k]] if m[1] == state), key=lambda m: (reach[k][m[0]] + m[2], m[0]))
+        a, _, cost, action, between = min((m for m in MOVES[roles[k]] if m[1] == state), key=lambda m: (costs[k][m[0]] + m[2], m[0]))
         out.append((state, cost, action, between))
         state = a
-    return out[::-1]
+    return state, out[::-1]
+
+
+def _begins(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For each part and each state it may end in, the state it then begins in."""
+    rows = []
+    for (part, conv), pdf in _runs(batches, ["role", "reach"]):
+        roles = [role_number(r) for r in pdf["role"]]
+        rows.append((conv, part, [trace(roles, pdf["reach"].iloc[0], s)[0] if s != NONE else NONE for s in range(4)]))
+    yield pd.DataFrame(rows, columns=["conv_id", "part", "begins"]).astype({"conv_id": "Int64"})
 
 
 def head(role: int) -> str:
@@ -169,9 +184,8 @@ END = "<|end|>\n"
 
 
 def _render(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for (_, conv), pdf in _runs(batches, ["turn", "role", "text", "begin", "finish", "last", "start"]):
-        chosen = trace([role_number(r) for r in pdf["role"]], int(pdf["begin"].iloc[0]), int(pdf["finish"].iloc[0]))
-        state = int(pdf["begin"].iloc[0])
+    for (_, conv), pdf in _runs(batches, ["turn", "role", "text", "reach", "finish", "last"]):
+        state, chosen = trace([role_number(r) for r in pdf["role"]], pdf["reach"].iloc[0], int(pdf["finish"].iloc[0]))
         rows = []
         for k, (role, cost, action, between) in enumerate(chosen):
             text = pdf["text"].iloc[k]
@@ -203,8 +217,19 @@ def repair(turns: DataFrame, part: int = PART) -> DataFrame:
     ranged = stored(ranged.withColumn("part", F.spark_partition_id()))
     by_part = lambda df: df.repartition(n, "part").sortWithinPartitions("part", *[c for c in order if c in df.columns])
     costs = by_part(ranged.select("conv_id", "turn", "role", "part")).mapInPandas(_tables, "conv_id long, part int, costs array<long>")
-    bundle = F.pmod(F.xxhash64("conv_id"), F.lit(n))
-    states = costs.groupBy(bundle.alias("bundle")).applyInPandas(lambda pdf: _chain(pdf), "conv_id long, part int, begin int, finish int, last boolean, start boolean")
-    states = stored(states)
-    joined = ranged.join(states.withColumnRenamed("conv_id", "_c").withColumnRenamed("part", "_p"), F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("part") == F.col("_p"))).drop("_c", "_p")
+    bundle = F.pmod(F.xxhash64("conv_id"), F.lit(n)).alias("bundle")
+    states = stored(costs.groupBy(bundle).applyInPandas(_forward, "conv_id long, part int, reach array<long>, parts int, last boolean, end int"))
+
+    def with_states(df: DataFrame, more: DataFrame) -> DataFrame:
+        more = more.withColumnRenamed("conv_id", "_c").withColumnRenamed("part", "_p")
+        return df.join(more, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("part") == F.col("_p"))).drop("_c", "_p")
+
+    # Only conversations in several parts need to know in which state each of these ends.
+    several = states.where("parts > 1")
+    begins = by_part(with_states(ranged.select("conv_id", "turn", "role", "part"), several.select("conv_id", "part", "reach"))).mapInPandas(_begins, "conv_id long, part int, begins array<int>")
+    ends = with_states(several.select("conv_id", "part", "end"), begins).groupBy(bundle).applyInPandas(_backward, "conv_id long, part int, finish int")
+    once = states.where("parts = 1").select("conv_id", "part", F.col("end").alias("finish"))
+    finish = with_states(states.select("conv_id", "part", "reach", "last"), once.unionByName(ends))
+    joined = with_states(ranged, stored(finish))
     return by_part(joined).mapInPandas(_render, "conv_id long, turn long, role string, new_role string, action string, inserted int, cost int, piece string")
+

@@ -32,11 +32,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir); a folder of our own only where it is unset, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="quillstream-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        app = spark.sparkContext.applicationId
+        if app not in _own_dirs:
+            _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="quillstream-")
+        named = _own_dirs[app]
     return named.rstrip("/")
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark._jvm
