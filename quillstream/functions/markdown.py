@@ -274,3 +274,29 @@ def without_outer_fence(c: Column) -> Column:
 def json_array(c: Column) -> Column:
     return F.nullif(F.regexp_extract(c, r"(?s)(\[.*\])", 1), F.lit(""))
 
+
+
+def leader_dots(word: Column) -> Column:
+    """Dots that a word of leaders stands for; an ellipsis is three."""
+    t = strip(word)
+    return F.when(t.rlike("^[.·‧…⋯]+$"), F.length(t) + 2 * (F.length(t) - F.length(F.replace(t, F.lit("…"), F.lit(""))))).otherwise(0)
+
+
+def is_thin(c: Column) -> Column:
+    """Fewer than 20 characters, or 15 or more of at most four kinds (white space aside)."""
+    s = strip(F.coalesce(c, F.lit("")))
+    letters = F.filter(F.split(F.regexp_replace(s, r"(?U)\s+", ""), ""), lambda x: x != "")
+    return (F.length(s) < 20) | ((F.size(letters) >= 15) & (F.size(F.array_distinct(letters)) <= 4))
+
+
+def is_prose(c: Column) -> Column:
+    """Two significant tokens or more, or not one short word."""
+    from .text import tokens
+
+    s = strip(F.coalesce(c, F.lit("")))
+    return (F.size(tokens(s)) >= 2) | s.contains(" ") | (F.length(s) > 3)
+
+
+def short_or_numeric(word: Column) -> Column:
+    t = strip(word)
+    return (t != "") & ((F.length(t) <= 6) | t.rlike(r"^[-+]?[\d.,<>=≤≥%/()µ]+$"))

@@ -194,3 +194,30 @@ def vector_only_nets(nets: DataFrame, lines: DataFrame) -> DataFrame:
     """Named nets that no pin-to-net phrase of the document names."""
     said = lines.select("doc_id", F.explode(C.pin_nets(F.col("line"))).alias("p")).select("doc_id", F.col("p.net").alias("net"))
     return nets.where(C.is_named_net(F.col("net"))).select("doc_id", "net").distinct().join(said, ["doc_id", "net"], "left_anti")
+
+
+def expand_boxes(boxes: DataFrame, grids: DataFrame) -> DataFrame:
+    """Boxes (doc_id, page, id, box) widened to hold every grid box of their page that overlaps them."""
+    g = grids.select("doc_id", "page", F.col("box").alias("_g"))
+    hit = boxes.join(g, ["doc_id", "page"]).where(G.overlap(F.col("box"), F.col("_g")))
+    side = lambda f, k: f(F.col(f"_g.{k}")).alias(k)
+    per = hit.groupBy("doc_id", "page", "id").agg(side(F.min, "x0"), side(F.min, "y0"), side(F.max, "x1"), side(F.max, "y1"))
+    out = boxes.join(per, ["doc_id", "page", "id"], "left")
+    wide = G.union(F.col("box"), G.box("x0", "y0", "x1", "y1"))
+    return out.select("doc_id", "page", "id", F.when(F.col("x0").isNotNull(), wide).otherwise(F.col("box")).alias("box"))
+
+
+def insert_figures(lines: DataFrame, figures: DataFrame) -> DataFrame:
+    """Lines (doc_id, line_no, sub_no, line) with each figure's block (doc_id, number, ord, block) after the
+    first caption line of its number; figures without one go to the end, in order."""
+    from ..functions.markdown import caption_number
+    from .lines import by_doc
+
+    number = F.when(F.col("line").rlike(r"(?i)^\s*(?:#{1,6}\s*)?\*{0,2}\s*(?:figure|table)\s+\d+\s*[:.]"), caption_number(F.col("line")))
+    found = lines.withColumn("_n", number).where("_n is not null").groupBy("doc_id", "_n").agg(F.min(F.struct("line_no", "sub_no")).alias("at"))
+    end = lines.groupBy("doc_id").agg(F.max("line_no").alias("_end"))
+    placed = figures.join(found.withColumnRenamed("_n", "number"), ["doc_id", "number"], "left").join(end, "doc_id")
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("ord"))
+    placed = placed.withColumn("_r", rank)
+    own = placed.select("doc_id", F.coalesce("at.line_no", F.col("_end")).alias("line_no"), (F.coalesce("at.sub_no", F.lit(1000)) + F.col("_r")).cast("int").alias("sub_no"), F.col("block").alias("line"))
+    return lines.select("doc_id", "line_no", "sub_no", "line").unionByName(own).withColumn("sub_no", (F.row_number().over(by_doc())).cast("int"))

@@ -126,3 +126,20 @@ def keep_longer(rows: DataFrame) -> DataFrame:
     weak = (F.col("source_chars") >= 120) & (F.length(F.coalesce("first", F.lit(""))) < 0.30 * F.col("source_chars"))
     longer = F.length(F.coalesce("second", F.lit(""))) > F.length(F.coalesce("first", F.lit("")))
     return rows.withColumn("text", F.when(weak & longer, F.col("second")).otherwise(F.col("first")))
+
+
+def clean_ends(objects: DataFrame, pages: DataFrame, band: float = 0.15) -> DataFrame:
+    """pages (doc_id, page) and objects (doc_id, page, top, bottom: shares of the page height) → doc_id,
+    page, clean: false where something reaches the foot of the page and something the head of the next."""
+    per = objects.groupBy("doc_id", "page").agg(F.max("bottom").alias("_foot"), F.min("top").alias("_head"))
+    rows = pages.join(per, ["doc_id", "page"], "left")
+    following = F.lead("_head").over(Window.partitionBy("doc_id").orderBy("page"))
+    return rows.select("doc_id", "page", (~F.coalesce((F.col("_foot") >= 1 - band) & (following <= band), F.lit(False))).alias("clean"))
+
+
+def snap_ends(segments: DataFrame, ends: DataFrame, most: int, slack: int = 12) -> DataFrame:
+    """Segments (doc_id, seg, start, end) whose end moves to the first clean page at or after it, within
+    ``slack`` pages more than a segment may have; else it stays."""
+    near = segments.join(ends.where("clean").select("doc_id", "page"), "doc_id").where((F.col("page") >= F.col("end")) & (F.col("page") <= F.col("start") + most - 1 + slack))
+    best = near.groupBy("doc_id", "seg").agg(F.min("page").alias("_to"))
+    return segments.join(best, ["doc_id", "seg"], "left").withColumn("end", F.coalesce("_to", "end")).drop("_to")

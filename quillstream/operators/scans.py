@@ -195,3 +195,36 @@ def tile_groups(images: DataFrame, gap: int = 10) -> DataFrame:
     w = Window.partitionBy("doc_id", "page", "w", "h").orderBy("xref")
     return images.withColumn("_new", F.coalesce(F.col("xref") - F.lag("xref").over(w) > gap, F.lit(True))).where("_new").drop("_new")
 
+
+
+def toc_pages(words: DataFrame, dots: int = 4, lines: int = 8, share: float = 0.3) -> DataFrame:
+    """(doc_id, page, block, line, word) → doc_id, page of pages with many lines of leader dots."""
+    per = words.groupBy("doc_id", "page", "block", "line").agg(F.sum(M.leader_dots(F.col("word"))).alias("dots"))
+    pages = per.groupBy("doc_id", "page").agg(F.count_if(F.col("dots") >= dots).alias("n"), F.count(F.lit(1)).alias("total"))
+    return pages.where((F.col("n") > 0) & ((F.col("n") >= lines) | (F.col("n") / F.col("total") >= share))).select("doc_id", "page")
+
+
+def display_headings(lines: DataFrame, gap: float = 0.5, least: float = 6.0) -> DataFrame:
+    """Heading-size lines (doc_id, page, y0, y1, text, level) merged over small gaps: text in order, the
+    highest level, the top."""
+    w = Window.partitionBy("doc_id", "page").orderBy("y0", "y1", "text")
+    high = F.col("y1") - F.col("y0")
+    rows = lines.withColumns({"_h": high, "_py1": F.lag("y1").over(w), "_ph": F.lag(high).over(w)})
+    fresh = F.col("_py1").isNull() | (F.col("y0") - F.col("_py1") > gap * F.greatest(F.col("_ph"), F.col("_h"), F.lit(least)))
+    rows = rows.withColumn("_g", F.sum(fresh.cast("int")).over(w))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("y0", "y1", "text"))), lambda x: T.strip(x["text"])), " ")
+    out = rows.groupBy("doc_id", "page", "_g").agg(T.collapse(joined).alias("text"), F.min("level").alias("level"), F.min("y0").alias("y0"))
+    return out.drop("_g")
+
+
+def accepts_rewrite(pairs: DataFrame, least_length: float = 0.5, least_kept: float = 0.5, expected: int = 8) -> DataFrame:
+    """(…, before, after) with accepted: false where the new text is under half as long, has lost all
+    figure headings, or keeps under half of eight or more designators (those on flagged lines aside)."""
+    found = lambda c: F.array_distinct(F.transform(C.designators(c), F.upper))
+    pairs = pairs.withColumns({"_b": found(F.col("before")), "_a": found(F.col("after"))})
+    flagged = F.filter(F.split("after", "\n", -1), lambda x: x.rlike(r"(?i)\[unverified|\[unreadable"))
+    pairs = pairs.withColumn("_b", F.array_except("_b", F.flatten(F.transform(flagged, found))))
+    kept = F.size(F.array_intersect("_b", "_a")) / F.greatest(F.size("_b"), F.lit(1))
+    figures = lambda c: F.col(c).rlike(r"(?m)^#{1,6}[ \t]+[Ff]igure")
+    bad = (F.length("after") < least_length * F.length("before")) | (figures("before") & ~figures("after")) | ((F.size("_b") >= expected) & (kept < least_kept))
+    return pairs.withColumn("accepted", ~bad).drop("_a", "_b")
