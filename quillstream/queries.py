@@ -56,11 +56,12 @@ def put(lines: DataFrame, *cases: tuple[Column, Column]) -> DataFrame:
     return lines
 
 
-N = F.col("line_no")
+def n() -> Column:
+    return F.col("line_no")
 
 
 def paged(lines: DataFrame) -> DataFrame:
-    return put(lines, (N % 4 == 0, F.concat(F.lit("<!-- page "), (F.floor(N / 4) + 1).cast("string"), F.lit(" -->"))))
+    return put(lines, (n() % 4 == 0, F.concat(F.lit("<!-- page "), (F.floor(n() / 4) + 1).cast("string"), F.lit(" -->"))))
 
 
 PAGED = LINES + """, paged AS (SELECT doc_id, line_no, CASE WHEN line_no % 4 = 0 THEN '<!-- page ' || (line_no // 4 + 1) || ' -->' ELSE line END AS line FROM lines)"""
@@ -135,7 +136,7 @@ def page_segments(spark, sf_dir):
 
 
 def fenced(lines: DataFrame) -> DataFrame:
-    return put(lines, (N % 5 == 1, F.lit("```")))
+    return put(lines, (n() % 5 == 1, F.lit("```")))
 
 
 @query(rf"""WITH {LINES}, f AS (SELECT doc_id, line_no, line_no % 5 = 1 AS is_f FROM lines),
@@ -150,26 +151,26 @@ def fence_state(spark, sf_dir):
     g AS (SELECT doc_id, page, count(*) FILTER (is_f) AS fences, max(line_no) FILTER (is_f) AS last_f, max(line_no) FILTER (NOT mark AND {STRIP.format('line')} <> '' AND {STRIP.format('line')} <> '---') AS last_c, count(*) AS n FROM f GROUP BY ALL)
     SELECT doc_id, sum(n + CASE WHEN fences % 2 = 0 THEN 0 WHEN last_c > last_f THEN 1 ELSE -1 END)::BIGINT AS n_lines FROM g GROUP BY ALL""")
 def balanced_fences(spark, sf_dir):
-    lines = put(paged(doc_lines(spark, sf_dir)), ((N % 4 == 2) & (F.floor(N / 4) % 2 == 0), F.lit("```")))
+    lines = put(paged(doc_lines(spark, sf_dir)), ((n() % 4 == 2) & (F.floor(n() / 4) % 2 == 0), F.lit("```")))
     return passes.balance_fences(lines).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 @query(rf"""WITH {LINES} SELECT doc_id, line_no, '## Figure ' || (line_no // 3 + 1) || ': ' || line AS line FROM lines WHERE line_no % 3 = 0""")
 def renumbered_figures(spark, sf_dir):
-    lines = put(doc_lines(spark, sf_dir), (N % 3 == 0, F.concat(F.lit("## Figure 77: "), "line")))
+    lines = put(doc_lines(spark, sf_dir), (n() % 3 == 0, F.concat(F.lit("## Figure 77: "), "line")))
     return passes.renumber_figures(lines).where("line_no % 3 = 0").select("doc_id", "line_no", "line")
 
 
 @query(rf"""WITH {LINES} SELECT doc_id, line_no, '![Image ' || (line_no + 1 + 5) || '](a.png)' AS line FROM lines""")
 def renumbered_images(spark, sf_dir):
-    lines = put(doc_lines(spark, sf_dir), (N >= 0, F.lit("![Image 1](a.png)")))
+    lines = put(doc_lines(spark, sf_dir), (n() >= 0, F.lit("![Image 1](a.png)")))
     return passes.renumber_images(lines, 5).select("doc_id", "line_no", "line")
 
 
 @query()
 def heading_dedup(spark, sf_dir):
     word = F.regexp_extract("line", r"([A-Za-z]+)", 1)
-    lines = put(doc_lines(spark, sf_dir), (N % 2 == 0, F.concat(F.lit("## "), F.when(N % 4 == 0, F.concat((N / 4 + 1).cast("int").cast("string"), F.lit(" "))).otherwise(""), F.substring(F.lower(word), 1, 1), F.lit("x"))), (N % 6 == 1, F.lit("")))
+    lines = put(doc_lines(spark, sf_dir), (n() % 2 == 0, F.concat(F.lit("## "), F.when(n() % 4 == 0, F.concat((n() / 4 + 1).cast("int").cast("string"), F.lit(" "))).otherwise(""), F.substring(F.lower(word), 1, 1), F.lit("x"))), (n() % 6 == 1, F.lit("")))
     return passes.dedup_headings(lines).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
@@ -177,7 +178,7 @@ def heading_dedup(spark, sf_dir):
     k AS (SELECT doc_id, page, line_no, score FROM c WHERE score IS NOT NULL QUALIFY row_number() OVER (PARTITION BY doc_id, page ORDER BY score DESC, line_no) = 1)
     SELECT doc_id, page::INTEGER + 1 AS page, line_no FROM k""")
 def caption_dedup(spark, sf_dir):
-    lines = put(paged(doc_lines(spark, sf_dir)), (N % 4 == 1, F.lit("Figure 2: flow of data")), (N % 4 == 2, F.lit("**Figure 2: flow of data**")), (N % 4 == 3, F.concat(F.lit("text "), "line")))
+    lines = put(paged(doc_lines(spark, sf_dir)), (n() % 4 == 1, F.lit("Figure 2: flow of data")), (n() % 4 == 2, F.lit("**Figure 2: flow of data**")), (n() % 4 == 3, F.concat(F.lit("text "), "line")))
     kept = with_pages(passes.dedup_captions(lines))
     return kept.where(F.col("line").rlike(M.FIGURE_CAPTION)).select("doc_id", "page", "line_no")
 
@@ -187,14 +188,14 @@ def caption_dedup(spark, sf_dir):
     SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY min(line_no))::INTEGER AS block_no, min(line_no) AS first_line, max(line_no) AS last_line, count(*) AS rows
     FROM g WHERE is_row GROUP BY doc_id, run HAVING count(*) >= 2""")
 def table_blocks(spark, sf_dir):
-    lines = put(doc_lines(spark, sf_dir), ((N % 4).isin(1, 2) | (N % 7 == 0), F.concat(F.lit("| "), "line", F.lit(" |"))))
+    lines = put(doc_lines(spark, sf_dir), ((n() % 4).isin(1, 2) | (n() % 7 == 0), F.concat(F.lit("| "), "line", F.lit(" |"))))
     return scans.table_blocks(lines)
 
 
 @query(rf"""WITH {PAGED}, h AS (SELECT doc_id, line_no, line_no % 4 = 3 AS hit, (line_no // 4) % 2 = 1 AS inside FROM paged)
     SELECT doc_id, count(*) + count(*) FILTER (hit) AS n_lines, count(*) FILTER (hit) AS marks FROM h GROUP BY ALL""")
 def html_table_flags(spark, sf_dir):
-    lines = put(paged(doc_lines(spark, sf_dir)), (N % 4 == 3, F.lit("<table><tr><td>x</td></tr></table>")))
+    lines = put(paged(doc_lines(spark, sf_dir)), (n() % 4 == 3, F.lit("<table><tr><td>x</td></tr></table>")))
     out = passes.flag_html_tables(lines)
     return out.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(F.col("line").contains("html-table-violation")).alias("marks"))
 
@@ -204,27 +205,27 @@ def html_table_flags(spark, sf_dir):
 def styled_lines(spark, sf_dir):
     whole = F.col("line").rlike(r"^\S") & F.col("line").rlike(r"\S$")
     lines = doc_lines(spark, sf_dir).withColumn("ok", whole)
-    lines = put(lines, (N % 3 == 0, F.concat(F.lit("table 4: "), "line")), (N % 3 == 1, F.concat(F.lit("# 2.3.1 "), "line"))).where("line_no % 3 < 2 and ok").drop("ok")
+    lines = put(lines, (n() % 3 == 0, F.concat(F.lit("table 4: "), "line")), (n() % 3 == 1, F.concat(F.lit("# 2.3.1 "), "line"))).where("line_no % 3 < 2 and ok").drop("ok")
     return passes.style_lines(lines).select("doc_id", "line_no", "line")
 
 
 @query(rf"""WITH {LINES} SELECT doc_id, count(*) FILTER (line_no % 10 <> 5 AND line_no % 10 <> 6) AS n_lines FROM lines GROUP BY ALL""")
 def runaway_lines(spark, sf_dir):
     short = doc_lines(spark, sf_dir).withColumn("line", F.substring("line", 1, 40))
-    lines = put(short, (N % 10 == 5, F.repeat(F.lit("| 0.5 "), F.lit(25))), (N % 10 == 6, F.lit("<!-- TRUNCATED at page 3 -->")))
+    lines = put(short, (n() % 10 == 5, F.repeat(F.lit("| 0.5 "), F.lit(25))), (n() % 10 == 6, F.lit("<!-- TRUNCATED at page 3 -->")))
     out = passes.drop_runaway(lines).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"))
     return read(spark, sf_dir, "documents").select("doc_id").join(out, "doc_id", "left").select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
 
 
 @query()
 def bullets(spark, sf_dir):
-    lines = put(doc_lines(spark, sf_dir), (N % 4 == 0, F.concat(F.lit("• "), "line")), (N % 4 == 2, F.concat(F.lit("  – "), "line")))
+    lines = put(doc_lines(spark, sf_dir), (n() % 4 == 0, F.concat(F.lit("• "), "line")), (n() % 4 == 2, F.concat(F.lit("  – "), "line")))
     return assemble(passes.normalise_bullets(lines))
 
 
 @query(rf"""WITH {LINES} SELECT doc_id, count(*) FILTER (line_no % 6 <> 1 AND NOT contains(lower(line), 'thedth')) AS n_lines FROM lines GROUP BY ALL""")
 def leaked_lines(spark, sf_dir):
-    lines = put(doc_lines(spark, sf_dir), (N % 6 == 1, F.lit("GENERAL RULES:")))
+    lines = put(doc_lines(spark, sf_dir), (n() % 6 == 1, F.lit("GENERAL RULES:")))
     out = passes.drop_phrases(lines, labels=("GENERAL RULES:",), phrases=("thedth",)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"))
     return read(spark, sf_dir, "documents").select("doc_id").join(out, "doc_id", "left").select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
 
@@ -232,7 +233,7 @@ def leaked_lines(spark, sf_dir):
 @query(rf"""WITH {LINES}, k AS (SELECT doc_id, line_no, line_no % 4 = 2 AND coalesce(lead(line_no) OVER (PARTITION BY doc_id ORDER BY line_no) % 4 = 3, TRUE) AS dropped FROM lines)
     SELECT doc_id, count(*) FILTER (NOT dropped) AS n_lines FROM k GROUP BY ALL""")
 def footer_numbers(spark, sf_dir):
-    lines = put(doc_lines(spark, sf_dir), (N % 4 == 2, F.lit("17")), (N % 4 == 3, F.lit("---")))
+    lines = put(doc_lines(spark, sf_dir), (n() % 4 == 2, F.lit("17")), (n() % 4 == 3, F.lit("---")))
     footers = read(spark, sf_dir, "documents").select("doc_id", F.lit("17").alias("number"))
     out = passes.strip_footer_numbers(lines, footers).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"))
     return read(spark, sf_dir, "documents").select("doc_id").join(out, "doc_id", "left").select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
@@ -240,14 +241,14 @@ def footer_numbers(spark, sf_dir):
 
 @query(rf"""WITH {LINES} SELECT doc_id, line_no, repeat('&emsp;', CASE WHEN line_no % 2 = 0 THEN 1 ELSE 2 END) || (line_no % 9 + 1) || '.2' || CASE WHEN line_no % 2 = 0 THEN '' ELSE '.5' END || ' Part' AS section, line_no AS page FROM lines""")
 def toc_rows(spark, sf_dir):
-    entry = F.concat((N % 9 + 1).cast("string"), F.lit(".2"), F.when(N % 2 == 0, "").otherwise(".5"), F.lit(" Part ...... "), N.cast("string"))
-    return scans.toc_tables(put(doc_lines(spark, sf_dir), (N >= 0, entry)))
+    entry = F.concat((n() % 9 + 1).cast("string"), F.lit(".2"), F.when(n() % 2 == 0, "").otherwise(".5"), F.lit(" Part ...... "), n().cast("string"))
+    return scans.toc_tables(put(doc_lines(spark, sf_dir), (n() >= 0, entry)))
 
 
 @query(rf"""WITH {PAGED}, k AS (SELECT doc_id, line_no // 4 AS p, line_no, CASE WHEN line_no % 4 = 1 THEN CASE WHEN (line_no // 4) % 2 = 0 THEN 'table' ELSE 'image' END WHEN line_no % 4 = 0 OR {STRIP.format('line')} = '' THEN NULL ELSE 'text' END AS k FROM paged)
     SELECT doc_id, p::INTEGER + 1 AS page, arg_min(k, line_no) FILTER (k IS NOT NULL) AS first_kind, arg_max(k, line_no) FILTER (k IS NOT NULL) AS last_kind FROM k GROUP BY ALL""")
 def page_ends(spark, sf_dir):
-    return scans.page_ends(put(paged(doc_lines(spark, sf_dir)), (N % 4 == 1, F.when(F.floor(N / 4) % 2 == 0, "| a | b |").otherwise("![x](y.png)"))))
+    return scans.page_ends(put(paged(doc_lines(spark, sf_dir)), (n() % 4 == 1, F.when(F.floor(n() / 4) % 2 == 0, "| a | b |").otherwise("![x](y.png)"))))
 
 
 @query()
@@ -365,14 +366,14 @@ def line_verdicts(spark, sf_dir):
 @query(rf"""WITH {PAGED}, l AS (SELECT doc_id, CASE WHEN line_no % 4 = 1 THEN '**Table ' || (line_no % 3 + 1) || ': t**' WHEN line_no % 4 = 2 THEN '![a](b.png) MISSING' ELSE line END AS line, line_no FROM paged)
     SELECT doc_id, 0::BIGINT AS html_tables, count(*) FILTER (line_no % 4 = 2) AS missing, count(*) FILTER (line_no % 4 = 1) AS captions, count(*) FILTER (line_no % 4 = 2) AS images FROM l GROUP BY ALL""")
 def qa_scan(spark, sf_dir):
-    lines = put(paged(doc_lines(spark, sf_dir)), (N % 4 == 1, F.concat(F.lit("**Table "), (N % 3 + 1).cast("string"), F.lit(": t**"))), (N % 4 == 2, F.lit("![a](b.png) MISSING")))
+    lines = put(paged(doc_lines(spark, sf_dir)), (n() % 4 == 1, F.concat(F.lit("**Table "), (n() % 3 + 1).cast("string"), F.lit(": t**"))), (n() % 4 == 2, F.lit("![a](b.png) MISSING")))
     out = scans.qa_scan(lines)
     return out.select("doc_id", "html_tables", "missing", F.col("captions").cast("long").alias("captions"), F.col("images").cast("long").alias("images"))
 
 
 @query(rf"""WITH {LINES} SELECT doc_id, 'Table ' || (line_no % 3 + 1) AS caption, count(*) AS n FROM lines GROUP BY ALL HAVING count(*) > 1""")
 def duplicate_captions(spark, sf_dir):
-    return scans.duplicate_captions(put(doc_lines(spark, sf_dir), (N >= 0, F.concat(F.lit("**Table "), (N % 3 + 1).cast("string"), F.lit(": t**")))))
+    return scans.duplicate_captions(put(doc_lines(spark, sf_dir), (n() >= 0, F.concat(F.lit("**Table "), (n() % 3 + 1).cast("string"), F.lit(": t**")))))
 
 
 @query("""WITH c AS (SELECT l_suppkey AS doc_id, l_quantity AS size, count(*) AS n FROM lineitem GROUP BY ALL), b AS (SELECT doc_id, arg_max(size, n * 1000 - size) AS body FROM c GROUP BY ALL),
@@ -559,7 +560,7 @@ def chunk_plan(spark, sf_dir):
 @query(rf"""WITH {LINES} SELECT doc_id, string_agg(CASE WHEN line_no % 3 = 2 THEN '<!-- MISSING pages ' || line_no || '-' || line_no || ': extraction failed -->' ELSE line END, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY line_no) AS md FROM lines GROUP BY ALL""")
 def joined_chunks(spark, sf_dir):
     lines = doc_lines(spark, sf_dir)
-    return planning.join_chunks(lines.select("doc_id", F.col("line_no").alias("idx"), F.col("line_no").alias("start"), F.col("line_no").alias("end"), F.when(N % 3 != 2, F.col("line")).alias("text")))
+    return planning.join_chunks(lines.select("doc_id", F.col("line_no").alias("idx"), F.col("line_no").alias("start"), F.col("line_no").alias("end"), F.when(n() % 3 != 2, F.col("line")).alias("text")))
 
 
 @query("""WITH RECURSIVE b AS (SELECT source, doc_id, n_chars, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents),
@@ -654,7 +655,7 @@ def audit_coverage(spark, sf_dir):
 
 @query()
 def audit_structure(spark, sf_dir):
-    lines = put(paged(doc_lines(spark, sf_dir)), ((N % 4).isin(1, 2), F.lit("| a | b |")))
+    lines = put(paged(doc_lines(spark, sf_dir)), ((n() % 4).isin(1, 2), F.lit("| a | b |")))
     docs = read(spark, sf_dir, "documents")
     return audits.verdict(audits.audit(audits.structure(lines), audits.heading_repeats(lines)), docs)
 
