@@ -155,7 +155,9 @@ def confirmed(texts: DataFrame, width: int = WIDTH) -> DataFrame:
     found = stored(found)
     counts = found.select("times", F.explode("windows").alias("window")).groupBy("window").agg(F.sum("times").alias("times")).where("times > 1")
     once = found.where("times = 1").select("stretch", F.posexplode("windows").alias("at", "window"))
-    partly = once.join(counts.select("window"), "window").groupBy("stretch").agg(F.collect_list("at").alias("some"))
+    # Stored on both sides of the join, so that a window in very many stretches can be split among tasks.
+    marked = stored(once.join(stored(counts.select("window")), "window").select("stretch", "at"))
+    partly = marked.groupBy("stretch").agg(F.collect_list("at").alias("some"))
     whole = found.where("times > 1").select("stretch", F.lit(None).cast("array<int>").alias("some"))
     places = stretch_rows(texts, width, packed, False).groupBy("shard", "stretch").agg(F.min(F.struct("row", "pos", "n")).alias("p"))
     return stored(places.join(stored(whole.unionByName(partly)), "stretch").select("shard", "p.row", "p.pos", "p.n", "some"))
