@@ -157,8 +157,9 @@ class Lists:
         n = len(query)
         need = -(-percent * n // 100)
         at = np.searchsorted(self.keys, query)
-        at = at[(at < len(self.keys))]
-        at = at[np.isin(self.keys[at], query, assume_unique=True)]
+        inside = at < len(self.keys)
+        at, query = at[inside], query[inside]
+        at = at[self.keys[at] == query]  # an absent shingle is placed at the next key
         owner = self.owner
         lists = []  # (length, begin, end) in self.owner
         for a, b in zip(self.first[at].tolist(), self.first[at + 1].tolist()):

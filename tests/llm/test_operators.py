@@ -126,6 +126,26 @@ def test_t_occurrence_search_finds_all(seed):
             assert list(lists.search(q, k, percent)) == want
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_t_occurrence_search_is_exact_for_queries_outside_the_lists(seed):
+    rng = np.random.default_rng(seed)
+    draw = lambda n: rng.integers(0, 1 << 40, n).astype(np.uint64)
+    base = draw(300)
+
+    def near(most):
+        gone = int(rng.integers(0, most))
+        return np.unique(np.concatenate([rng.permutation(base)[gone:], draw(gone)]))
+
+    left, right = [near(30) for _ in range(150)], [near(30) for _ in range(60)] + [np.unique(draw(300))]
+    small = lambda: np.unique(rng.integers(0, 60, rng.integers(1, 50))).astype(np.uint64)
+    for held, asked in ((left, right), ([small() for _ in range(60)], [small() for _ in range(60)])):
+        lists = jaccard_join.Lists(held)
+        for percent in (60, 80, 90):
+            for q in asked:
+                want = [j for j, s in enumerate(held) if 100 * len(np.intersect1d(q, s)) >= percent * len(np.union1d(q, s))]
+                assert list(lists.search(q, None, percent)) == want
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 
