@@ -5,8 +5,9 @@ returns the pieces of sequences.
 
 - language_id: documents whose language cannot be told (no letter) go.
 - toxicity: documents predicted toxic go.
-- ngram_jaccard_join: of the documents that links connect, the one with the least doc_id stays;
-  rows without a doc_id stay, rows that share one stay or go together.
+- ngram_jaccard_join: of the documents that links connect (Jaccard of five-word shingles 0.8 or
+  more), the one with the least doc_id stays; rows without a doc_id stay, rows that share one stay
+  or go together.
 - substring_dedup: words in repeated windows go; a text without repeats stays as it is. ``n_chars``
   follows the text.
 - best_fit_packing: what is left, as pieces placed in sequences.
@@ -24,6 +25,10 @@ from quillstream.llm.common import stored, table
 from quillstream.shipping import ship
 
 
+#: Words of a shingle and similarity in hundredths of the near-copy stage; op3 has its own contract.
+NEAR_WIDTH, NEAR_PERCENT = 5, 80
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     known = langid.identify(docs).where(F.col("lang_pred") != langid.UNKNOWN)
@@ -38,7 +43,7 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    copies = jaccard_join.join(docs).where("component_id <> doc_id").select("doc_id").distinct()
+    copies = jaccard_join.join(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT).where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(stored(copies), "doc_id", "left_anti").select(*docs.columns)
 
 

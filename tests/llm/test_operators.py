@@ -381,3 +381,16 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert not any(k % 5 == 0 for k in kept[1] if k < 400) and kept[1] >= {k for k in range(400) if k % 5}
     assert kept[2] == kept[1] - {5001, 5003} and kept[3] == kept[2]
     assert {r["doc_id"] for r in at.collect()} == kept[3]
+
+
+def test_pipeline_drops_copies_near_by_five_words(spark, tmp_path):
+    import corpus_pipeline
+
+    words = [f"w{k}" for k in range(200)]
+    near, far = list(words), list(words)
+    for k in (20, 70, 120, 170):  # five-word Jaccard 176 / 216, three-word 186 / 210
+        near[k] = "new"
+    for k in range(10, 190, 30):  # six edits: five-word Jaccard 166 / 226
+        far[k] = f"other{k}"
+    docs = table(spark, [" ".join(words), " ".join(near), " ".join(far)])
+    assert {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path)).collect()} == {0, 2}
