@@ -217,6 +217,13 @@ def runaway_lines(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id").join(out, "doc_id", "left").select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
 
 
+@query()
+def runaway_lines_whole(spark, sf_dir):
+    """Lines kept of every document, as its lines are; the SQL of runaway_lines has no rule for repeats."""
+    out = passes.drop_runaway(doc_lines(spark, sf_dir)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"))
+    return read(spark, sf_dir, "documents").select("doc_id").join(out, "doc_id", "left").select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
+
+
 @query()
 def bullets(spark, sf_dir):
     lines = put(doc_lines(spark, sf_dir), (n() % 4 == 0, F.concat(F.lit("• "), "line")), (n() % 4 == 2, F.concat(F.lit("  – "), "line")))
