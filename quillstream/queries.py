@@ -157,8 +157,14 @@ def balanced_fences(spark, sf_dir):
 
 @query(rf"""WITH {LINES} SELECT doc_id, line_no, '## Figure ' || (line_no // 3 + 1) || ': ' || line AS line FROM lines WHERE line_no % 3 = 0""")
 def renumbered_figures(spark, sf_dir):
+    return renumbered_figures_whole(spark, sf_dir).where("line_no % 3 = 0")
+
+
+@query()
+def renumbered_figures_whole(spark, sf_dir):
+    """All lines, those that stay as they are too; the SQL of renumbered_figures states the headings."""
     lines = put(doc_lines(spark, sf_dir), (n() % 3 == 0, F.concat(F.lit("## Figure 77: "), "line")))
-    return passes.renumber_figures(lines).where("line_no % 3 = 0").select("doc_id", "line_no", "line")
+    return passes.renumber_figures(lines).select("doc_id", "line_no", "line")
 
 
 @query(rf"""WITH {LINES} SELECT doc_id, line_no, '![Image ' || (line_no + 1 + 5) || '](a.png)' AS line FROM lines""")
@@ -204,8 +210,14 @@ def html_table_flags(spark, sf_dir):
     FROM lines WHERE line_no % 3 < 2 AND regexp_matches(line, '^\S') AND regexp_matches(line, '\S$')""")
 def styled_lines(spark, sf_dir):
     whole = F.col("line").rlike(r"^\S") & F.col("line").rlike(r"\S$")
-    lines = doc_lines(spark, sf_dir).withColumn("ok", whole)
-    lines = put(lines, (n() % 3 == 0, F.concat(F.lit("table 4: "), "line")), (n() % 3 == 1, F.concat(F.lit("# 2.3.1 "), "line"))).where("line_no % 3 < 2 and ok").drop("ok")
+    stated = doc_lines(spark, sf_dir).where((n() % 3 < 2) & whole).select("doc_id", "line_no")
+    return styled_lines_whole(spark, sf_dir).join(stated, ["doc_id", "line_no"], "left_semi")
+
+
+@query()
+def styled_lines_whole(spark, sf_dir):
+    """All lines, plain and indented ones too; the SQL of styled_lines states some of them."""
+    lines = put(doc_lines(spark, sf_dir), (n() % 3 == 0, F.concat(F.lit("table 4: "), "line")), (n() % 3 == 1, F.concat(F.lit("# 2.3.1 "), "line")))
     return passes.style_lines(lines).select("doc_id", "line_no", "line")
 
 
@@ -621,7 +633,17 @@ def cache_keys(spark, sf_dir):
 @query(r"""SELECT source || '/' || doc_id || '.py' AS src, '---' || chr(10) || 'type: source_code' || chr(10) || 'project: p' || chr(10) || 'source: ' || source || '/' || doc_id || '.py' || chr(10) || 'language: python' || chr(10) || 'last_collected: T' || chr(10) || '---' || chr(10) || chr(10)
     || '# ' || doc_id || '.py' || chr(10) || chr(10) || '경로: `' || source || '/' || doc_id || '.py`' || chr(10) || chr(10) || '````python' || chr(10) || 'x = [[' || chr(10) || '```' || chr(10) || text || chr(10) || '````' || chr(10) AS md FROM documents WHERE NOT contains(text, '````') AND NOT ends_with(text, chr(10))""")
 def code_documents(spark, sf_dir):
-    d = read(spark, sf_dir, "documents").where("not contains(text, '````') and not endswith(text, '\\n')")
+    return code_files(read(spark, sf_dir, "documents").where("not contains(text, '````') and not endswith(text, '\\n')"))
+
+
+@query()
+def code_documents_whole(spark, sf_dir):
+    """All documents, those whose fence grows and null texts (an empty block) too; the SQL of
+    code_documents states those with a fence of four."""
+    return code_files(read(spark, sf_dir, "documents"))
+
+
+def code_files(d: DataFrame) -> DataFrame:
     src = F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".py"))
     files = d.select(src.alias("src"), F.lit("p").alias("project"), F.lit("python").alias("language"), F.concat(F.lit('x = [[\n```\n'), "text").alias("code"))
     return ledger.code_document(files, "T").select("src", "md")
