@@ -8,8 +8,8 @@ of the vocabulary reaches over a blank and the normaliser changes nothing; else
 chunks and every whole text is also encoded by the sentencepiece library; ``parity`` tells whether
 all of a text's parts agreed.
 
-Defined cases: null text is empty, with no ids; texts with several blanks in a row or blanks at an
-end are encoded whole; repeated rows are encoded each; an empty table gives no rows.
+Defined cases: null text is empty, with no ids; texts with several blanks in a row, blanks at an end
+or the marker itself are encoded whole; repeated rows are encoded each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ from .common import bounded_batches
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
-#: Texts in which blanks make runs or stand at an end.
-RUNS = re.compile(r"  |^ | $")
+#: Texts in which blanks make runs or stand at an end, or that hold the marker itself, which merges with that of a blank.
+RUNS = re.compile(rf"  |^ | $|{MARK}")
 CHUNKS = 700_000
 KEPT_CHARS = 48
 

@@ -298,6 +298,16 @@ def test_sentencepiece_parity(spark):
     assert all(r["decoded"] == (r["text"] or "") for r in both)
 
 
+def test_sentencepiece_ids_where_the_marker_stands_in_the_text():
+    import sentencepiece
+
+    path = sentencepiece_codec.default_model()
+    reference = sentencepiece.SentencePieceProcessor(model_file=path)
+    rows = ["w▁ ▁z", "▁", "a▁ b", "a ▁b c", "▁▁ ▁▁ x", "x ▁"]
+    got = sentencepiece_codec.Codec(path).encode(rows)
+    assert [(np.frombuffer(ids, "<u4").tolist(), same) for ids, same in got] == [(reference.encode(t), True) for t in rows]
+
+
 def test_unigram_models_are_rebuilt():
     piece = lambda text, score, kind: bytes([10, 2 + len(text) + 5 + 2, 10, len(text)]) + text + b"\x15" + np.float32(score).tobytes() + bytes([24, kind])
     data = piece(b"<unk>", 0, 2) + piece("▁".encode() + b"a", -1, 1) + piece(b"b", -2, 1) + bytes([18, 2, 24, 1])
