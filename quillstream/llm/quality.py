@@ -2,11 +2,12 @@
 
 Base measures of a text are counted exactly (see ``measures``). On top of the fixed base rule, each
 method rule compares one ratio with a cutoff. For every stratum (texts by number of words) and rule
-the candidates of a fixed grid are tested from the strictest reading of risk: a cutoff is allowed
-if the exact binomial (Clopper-Pearson) upper bound of the share of good labelled texts that it
-rejects is at most ``risk`` divided by the number of rules. The bounds hold together with
-probability ``1 - delta``: every test has level delta / (strata x rules x candidates). Of the allowed
-cutoffs the one that rejects most is used; where none is allowed, the rule rejects nothing there.
+the candidates of a fixed grid are tested in sequence, the most lenient first, up to the first that
+fails: a cutoff is allowed if the exact binomial (Clopper-Pearson) upper bound of the share of good
+labelled texts that it rejects is at most ``risk`` divided by the number of rules. The bounds hold
+together with probability ``1 - delta``: every sequence has level delta / (strata x rules), which a
+fixed sequence need not divide by its candidates. The last allowed cutoff, which rejects most, is
+used; where none is allowed, the rule rejects nothing there.
 
 Defined cases: a null text has no words and fails the base rule; with no labels no method rule
 rejects; labels of ids that no document has, and null labels, are ignored; a document labelled more
@@ -151,13 +152,14 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, delta: f
         F.count_if(ratios()[rule] > cutoff).alias(f"{rule}_{k}") for rule, grid in RULES.items() for k, cutoff in enumerate(grid)
     ]
     rows = measured.join(good, "doc_id").where(~base_failed()).groupBy(stratum().alias("stratum")).agg(F.count(F.lit(1)).alias("n"), *counts).collect()
-    tests = (len(STRATA) + 1) * sum(map(len, RULES.values()))
+    level = delta / ((len(STRATA) + 1) * len(RULES))
     out = {}
     for row in rows:
         for rule, grid in RULES.items():
-            allowed = [c for k, c in enumerate(grid) if upper_bound(row[f"{rule}_{k}"], row["n"], delta / tests) <= risk / len(RULES)]
-            if allowed:
-                out[row["stratum"], rule] = min(allowed)
+            for k in reversed(range(len(grid))):  # grids rise, so the last is the most lenient
+                if upper_bound(row[f"{rule}_{k}"], row["n"], level) > risk / len(RULES):
+                    break
+                out[row["stratum"], rule] = grid[k]
     return out
 
 

@@ -214,6 +214,14 @@ def test_cutoffs_respect_the_risk(spark):
     assert (1, "symbol_ratio") in chosen and good.where("not kept").count() <= quality.RISK * good.count()
 
 
+def test_cutoffs_are_tested_in_sequence(spark):
+    sizes = {50: 1200, 200: 1000}  # 1,151 good labels without a rejection suffice at level 0.05 / 16
+    rows = [(words * 10000 + k, words, 5 * words, 0, 0, 0) for words, many in sizes.items() for k in range(many)]
+    measured = spark.createDataFrame(rows, quality.MEASURES)
+    chosen = quality.cutoffs(measured, measured.select("doc_id", F.lit(1).alias("quality")))
+    assert chosen == {(0, rule): grid[0] for rule, grid in quality.RULES.items()}
+
+
 def labelled(spark):
     rng = random.Random(5)
     tongues = {"aa": "lomi tera vano", "bb": "éçu öpa ßim"}
