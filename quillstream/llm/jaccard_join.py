@@ -1,57 +1,54 @@
 """Word-shingle Jaccard join by T-occurrence search with DivideSkip, and its components.
 
-1. Shingles of every sixth hash value are counted over all documents; a Bloom filter keeps those
-   that stand in two or more. A sampled shingle outside the filter stands in one document alone.
-   All shingles are ordered: such lone ones first, then the sampled others, then the rest, each by
-   hash. Any fixed order gives complete results; this one keeps frequent shingles out of prefixes.
-2. Two sets with Jaccard t or more share at least ceil(t n) of either's n shingles, hence one of the
-   first n - ceil(t n) + 1, the prefix. A document whose prefix is made of lone shingles links with
-   no other text and is set aside. Documents with the same shingles are one class; the other classes
-   are posted under their prefixes and bands of size; those that share a posted shingle and a band are
-   connected to the least of them, and the components of these are candidate families.
+1. Documents with the same shingles are one class. Classes are posted under the contents of parts of
+   their shingle sets, such that similar ones share a post (``agreement``). Posts are gathered by
+   signature; what several documents of one Python task post is gathered before the shuffle, so a
+   signature that very many copies post does not grow with them there.
+2. Classes under one signature are compared by sketches, which rule out what cannot be similar;
+   components of what is left are candidate families. Signatures with the same classes count once.
 3. In a family every class is searched for in the inverted lists of the others: lists are divided
    into the longest, which are probed by binary search, and the rest, which are heap-merged with
    skips; what reaches the required overlap is compared exactly, and links are merged at once.
-   Families of more than ``block`` classes are searched band by band, large bands by pairs of blocks.
+   A family beyond ``block`` shingles is dealt over blocks, each with the family's least class; then
+   the classes outside the family's largest component so far are searched for in all its blocks.
 4. Components of the links give each document the least doc_id that it reaches.
 
 Defined cases: null and empty texts and texts without a word have no shingles and link with nothing;
-texts of one or two words have one shingle, all of their words; a row without a doc_id gets its count
-and no component; rows that share a doc_id are one node; an empty table gives no rows; columns other
-than doc_id and text are ignored.
+texts of fewer words than a shingle have one shingle, all of their words; a row without a doc_id gets
+its count and no component; rows that share a doc_id are one node; an empty table gives no rows;
+columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from bisect import bisect_left
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from math import log2
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bloom import holds, key_filter
-from .common import bounded_batches, spans, stored, utf8
-from .components import components
+from .agreement import Scheme
+from .common import bounded_batches, release, spans, stored, utf8
+from .components import components, union_find
 from .textkernels import LOWER, Words, mix, windows
 
 WIDTH = 3
 #: Similarity in hundredths.
 PERCENT = 90
-#: One of so many hash values is counted.
-SAMPLE = 6
 SPAN = 1 << 20
-BLOCK = 1024
-#: Shingles of one search task, on average.
-TASK_SHINGLES = 1_000_000
-#: Bands are this much wider than the similarity needs, for rounding.
-BAND = 1.001
+#: Posts that a task gathers before it hands them on, and posts of a bucket, on average.
+POSTS = 1_000_000
+#: Classes of one signature that a task compares.
+LIST = 50_000
+#: Signatures with no more classes than this are compared together, pair by pair.
+SHORT = 48
+#: Shingles of a block of a family and of a search task, on average.
+BLOCK = 500_000
 #: DivideSkip's constant that balances probes against merges.
 MU = 0.0085
 
@@ -77,65 +74,173 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> l
     return out
 
 
-def each_set(batch: pa.RecordBatch, column: int, width: int) -> Iterator[np.ndarray]:
-    data, offsets = utf8(batch.column(column))
-    for a, b in spans(offsets, SPAN):
-        yield from shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width)
+def each_span(batch: pa.RecordBatch | pa.Table, column: str, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(first row, shingle sets) of runs of rows."""
+    texts = batch.column(column)
+    for chunk_start, chunk in zip(np.cumsum([0, *map(len, texts.chunks)]), texts.chunks) if isinstance(texts, pa.ChunkedArray) else [(0, texts)]:
+        data, offsets = utf8(chunk)
+        for a, b in spans(offsets, SPAN):
+            yield int(chunk_start) + a, shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width)
 
 
-def sampled(shingles: np.ndarray) -> np.ndarray:
-    return shingles % np.uint64(SAMPLE) == 0
+def identity(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def repeated_filter(docs: DataFrame, width: int = WIDTH) -> np.ndarray | None:
-    """Bloom filter of the sampled shingles that stand in two or more of the documents."""
+def signed_sets(docs: DataFrame, scheme: Scheme, width: int) -> DataFrame:
+    """doc_id, n (shingles), key (of the whole set, null if it is empty), halved (see ``Scheme``) and
+    the sketches, with their bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = [s[sampled(s)] for s in each_set(batch, 0, width)]
-            if held:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64))], names=["key"])
-
-    keys = docs.select("text").mapInArrow(run, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("key")
-    return key_filter(stored(keys))
-
-
-def prefix(shingles: np.ndarray, repeated: np.ndarray | None, percent: int = PERCENT) -> np.ndarray:
-    """The shingles of the prefix that may stand in another set; none if all of them are lone."""
-    n = len(shingles)
-    keep = n - -(-percent * n // 100) + 1 if n else 0
-    inside = sampled(shingles)
-    chosen, others = shingles[inside], shingles[~inside]
-    if repeated is not None and len(chosen):
-        known = holds(repeated, chosen)
-        keep -= len(chosen) - int(known.sum())
-        chosen = chosen[known]
-    if keep <= 0:
-        return shingles[:0]
-    return np.concatenate([chosen, others])[:keep]  # both parts are sorted by hash
-
-
-def signatures(docs: DataFrame, repeated: np.ndarray | None, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n (shingles), key (of the whole set, null if it is empty), prefix, and the shingles
-    themselves where the prefix isn't empty."""
-    shared = docs.sparkSession.sparkContext.broadcast(repeated)  # of at most 2 bytes for each of bloom.MOST keys
+            for a, sets in each_span(batch, "text", width):
+                sketches = scheme.sketches(sets)
+                ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in sketches])]).astype(np.int32))
+                flat = [x for row in sketches for x in row]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(a, len(sets)),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([identity(s) if len(s) else None for s in sets], pa.binary()),
+                        pa.array(scheme.needs(sets)),
+                        pa.ListArray.from_arrays(ends, pa.array([x[0] for x in flat], pa.int32())),
+                        pa.ListArray.from_arrays(ends, pa.array([x[1] for x in flat], pa.binary())),
+                    ],
+                    names=["doc_id", "n", "key", "halved", "bands", "sketches"],
+                )
+
+    return docs.mapInArrow(run, "doc_id long, n long, key binary, halved int, bands array<int>, sketches array<binary>")
+
+
+POSTED = pa.schema([("bucket", pa.int32()), ("known", pa.bool_()), ("n", pa.int32()), ("width", pa.int32()), ("base", pa.int64()), ("posts", pa.binary())])
+MET = pa.schema([("signature", pa.int64()), ("band", pa.int32()), ("doc_id", pa.int64())])
+
+
+def packed(bucket: int, known: bool, signature: np.ndarray, band: np.ndarray, doc: np.ndarray) -> tuple:
+    """A row of ``POSTED``: signatures, bands and ids (over the least one, in as many bytes as they need)."""
+    base = int(doc.min())
+    over = (doc - base).astype("<u8")
+    width = max(1, (int(over.max()).bit_length() + 7) // 8)
+    ids = np.ascontiguousarray(over.view(np.uint8).reshape(-1, 8)[:, :width])
+    return bucket, known, len(doc), width, base, signature.astype("<u8").tobytes() + band.tobytes() + ids.tobytes()
+
+
+def unpacked(n: int, width: int, base: int, posts: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    signature = np.frombuffer(posts, "<u8", n)
+    band = np.frombuffer(posts, np.uint8, n, 8 * n)
+    ids = np.zeros((n, 8), np.uint8)
+    ids[:, :width] = np.frombuffer(posts, np.uint8, n * width, 9 * n).reshape(n, width)
+    return signature, band, ids.view("<i8").ravel() + base
+
+
+def posted(docs: DataFrame, scheme: Scheme, halved: dict[int, int], width: int, buckets: int) -> DataFrame:
+    """The posts of all sets, gathered by ranges of signatures. Of the documents that post a signature
+    in one go, the first is handed on to be met by others; all are marked as known to have met."""
+
+    def flush(held: list[tuple]) -> pa.RecordBatch:
+        signature, band, doc = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(signature, kind="stable")
+        signature, band, doc = signature[order], band[order], doc[order]
+        first = np.ones(len(signature), bool)
+        first[1:] = signature[1:] != signature[:-1]
+        run = np.cumsum(first) - 1
+        several = (np.bincount(run) > 1)[run]
+        own = ((signature[first] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        cuts = np.flatnonzero(np.diff(own)) + 1
+        lead = (signature[first], band[first], doc[first])
+        rows = [packed(int(own[a]), False, *(x[a:b] for x in lead)) for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(own)])]
+        signature, band, doc = signature[several], band[several], doc[several]
+        to = (mix(doc.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)  # any even deal does
+        order = np.argsort(to, kind="stable")
+        to, signature, band, doc = to[order], signature[order], band[order], doc[order]
+        cuts = np.flatnonzero(np.diff(to)) + 1
+        if len(to):
+            rows += [packed(int(to[a]), True, signature[a:b], band[a:b], doc[a:b]) for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(to)])]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), POSTED)], schema=POSTED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
         for batch in batches:
-            n, keys, posted, blobs = [], [], [], []
-            for s in each_set(batch, 1, width):
-                n.append(len(s))
-                keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                posted.append(prefix(s, shared.value, percent).view(np.int64))
-                blobs.append(s.tobytes() if len(posted[-1]) else None)
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in posted])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(posted) if posted else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), lists, pa.array(blobs, pa.binary())],
-                names=["doc_id", "n", "key", "prefix", "shingles"],
-            )
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key binary, prefix array<long>, shingles binary")
+            ids = batch.column(0).to_numpy()
+            for a, sets in each_span(batch, "text", width):
+                signature, band, at = scheme.posts(sets, halved)
+                if len(at):
+                    held.append((signature, band, ids[a + at]))
+                    size += len(at)
+                if size >= POSTS:
+                    yield flush(held)
+                    held, size = [], 0
+        if held:
+            yield flush(held)
+
+    return docs.mapInArrow(run, "bucket int, known boolean, n int, width int, base long, posts binary")
+
+
+def _meet(rows: pa.Table) -> pa.Table:
+    """The posts of a bucket whose signature several documents have."""
+    known, open_ = [], []
+    for row in rows.to_pylist():
+        (known if row["known"] else open_).append(unpacked(row["n"], row["width"], row["base"], row["posts"]))
+    out = known
+    if open_:
+        signature, band, doc = (np.concatenate(x) for x in zip(*open_))
+        order = np.argsort(signature, kind="stable")
+        signature, band, doc = signature[order], band[order], doc[order]
+        first = np.ones(len(signature), bool)
+        first[1:] = signature[1:] != signature[:-1]
+        at = np.flatnonzero(first)
+        met = (np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at))[np.cumsum(first) - 1]
+        out = [*known, (signature[met], band[met], doc[met])]
+    signature, band, doc = (np.concatenate(x) for x in zip(*out))
+    return pa.table([pa.array(signature.view(np.int64)), pa.array(band.astype(np.int32)), pa.array(doc)], schema=MET)
+
+
+def _sketched(percent: int):
+    """Pairs of classes of one signature that sketches do not part, as links that connect the same."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        scheme = Scheme(percent)
+        a_all, b_all = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        band_of = rows.column("band").to_numpy()
+        for band in np.unique(band_of).tolist():
+            part = rows.filter(pa.array(band_of == band)).sort_by("signature")
+            node, n = part.column("rep").to_numpy(), part.column("n").to_numpy()
+            sketch = np.frombuffer(b"".join(part.column("sketch").to_pylist()), "<u8").reshape(len(node), -1)
+            signature = part.column("signature").to_numpy()
+            cuts = np.flatnonzero(np.diff(signature)) + 1
+            starts, ends = np.append(0, cuts), np.append(cuts, len(signature))
+            size = ends - starts
+            left = np.repeat(ends, size) - np.arange(len(signature)) - 1  # rows of the same signature that follow
+            left[np.repeat(size > SHORT, size)] = 0
+            at_once = max(1, (4 << 20) // sketch.shape[1])
+            for d in range(1, int(left.max(initial=0)) + 1):
+                x = np.flatnonzero(left >= d)
+                x = x[node[x] != node[x + d]]
+                for k in range(0, len(x), at_once):
+                    y = x[k : k + at_once]
+                    y = y[scheme.may_link(sketch[y], sketch[y + d], n[y], n[y + d])]
+                    a_all.append(node[y])
+                    b_all.append(node[y + d])
+            for s, e in zip(starts[size > SHORT].tolist(), ends[size > SHORT].tolist()):
+                # From each class to those not reached yet: a cluster costs about its size.
+                todo, free = [], np.arange(s, e)
+                while len(free) or todo:
+                    if not todo:
+                        todo, free = [free[0]], free[1:]
+                    q = todo.pop()
+                    near = np.concatenate([scheme.may_link(sketch[q], sketch[free[k : k + at_once]], n[q], n[free[k : k + at_once]]) for k in range(0, len(free), at_once)] or [np.zeros(0, bool)])
+                    found = free[near]
+                    a_all.append(np.full(len(found), node[q]))
+                    b_all.append(node[found])
+                    todo += found.tolist()
+                    free = free[~near]
+        a, b = np.concatenate(a_all), np.concatenate(b_all)
+        apart = a != b
+        node, root = union_find(a[apart], b[apart])
+        return pa.table({"a": node[node != root], "b": root[node != root]})
+
+    return run
 
 
 class Lists:
@@ -209,12 +314,15 @@ class Lists:
                     heappush(heap, (owner[place[k]], k))
 
 
-def linked(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int = PERCENT) -> list[tuple[int, int]]:
+def linked(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int = PERCENT, known: tuple[list, list] | None = None) -> list[tuple[int, int]]:
     """Links that join what similarity joins: among ``left``, or between it and ``right`` if given;
-    numbers of ``right`` count on from those of ``left``."""
+    numbers of ``right`` count on from those of ``left``. Sets with the same ``known`` are joined already."""
     lists = Lists(left)
     total = len(left) + len(right or [])
     up = list(range(total))
+    if known:
+        first: dict = {}
+        up = [first.setdefault(x, k) for k, x in enumerate([*known[0], *known[1]])]
 
     def root(x: int) -> int:
         while up[x] != x:
@@ -231,58 +339,126 @@ def linked(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int
     return out
 
 
-def _search(percent: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+def _own_sets(rows: pa.Table, width: int) -> tuple[list[np.ndarray], pa.Table]:
+    """Sets and rows of each class once; a row whose text isn't that of its class is left out."""
+    rows = rows.sort_by([("rep", "ascending"), ("key", "ascending")])
+    keys, reps = rows.column("key").to_pylist(), rows.column("rep").to_pylist()
+    sets, take, seen = [], [], set()
+    for a, some in each_span(rows, "text", width):
+        for k, s in enumerate(some, a):
+            if (reps[k], keys[k]) not in seen and identity(s) == keys[k]:
+                seen.add((reps[k], keys[k]))
+                sets.append(s)
+                take.append(k)
+    return sets, rows.take(pa.array(take, pa.int64()))
+
+
+def _families(rows: pa.Table) -> Iterator[pa.Table]:
+    family = rows.column("family").to_numpy()
+    for one in np.unique(family).tolist():
+        yield rows.filter(pa.array(family == one))
+
+
+def _search(width: int, percent: int):
+    def run(rows: pa.Table) -> pa.Table:
         a, b = [], []
-        for _, family in pdf.groupby("family", sort=False):
-            family = family.sort_values("doc_id")
-            i, j = int(family["i"].iloc[0]), int(family["j"].iloc[0])
-            sides = [family] if i == j else [family[family["block"] == i], family[family["block"] == j]]
-            if any(len(x) == 0 for x in sides) or len(family) < 2:
-                continue
-            sets = [[np.frombuffer(x, np.uint64) for x in side["shingles"]] for side in sides]
-            ids = np.concatenate([side["doc_id"].to_numpy() for side in sides])
-            for x, y in linked(sets[0], sets[1] if len(sets) > 1 else None, percent):
-                a.append(ids[x])
-                b.append(ids[y])
-        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+        for family in _families(rows):
+            sets, own = _own_sets(family, width)
+            node = own.column("rep").to_pylist()
+            for x, y in linked(sets, None, percent):
+                a.append(node[x])
+                b.append(node[y])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _search_others(width: int, percent: int):
+    def run(rows: pa.Table) -> pa.Table:
+        asked = rows.column("asked").to_numpy(zero_copy_only=False)
+        (left, one), (right, two) = (_own_sets(rows.filter(pa.array(side)), width) for side in (~asked, asked))
+        if not left or not right:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        node = one.column("rep").to_pylist() + two.column("rep").to_pylist()
+        found = linked(left, right, percent, (one.column("joined").to_pylist(), two.column("joined").to_pylist()))
+        return pa.table({"a": pa.array([node[x] for x, _ in found], pa.int64()), "b": pa.array([node[y] for _, y in found], pa.int64())})
 
     return run
 
 
+def candidates(docs: DataFrame, signed: DataFrame, classes: DataFrame, scheme: Scheme, width: int, paths: list[str]) -> DataFrame:
+    """(node, component): candidate families of class representatives."""
+    spark = docs.sparkSession
+    size = signed.agg(F.sum("n")).first()[0] or 0
+    own_band = signed.where("halved > 0").groupBy(F.element_at("bands", 1).alias("band")).agg(F.max("halved").alias("times"))
+    halved = {r["band"]: r["times"] for r in own_band.collect()}  # a row for a band at most
+    buckets = int(size // (2 * POSTS)) + 1
+    posts = posted(docs.where("doc_id is not null"), scheme, halved, width, buckets)
+    met = posts.groupBy("bucket").applyInArrow(_meet, "signature long, band int, doc_id long")
+    reps = signed.where("key is not null and doc_id is not null").select("doc_id", "key").join(classes.select("key", "rep"), "key").select("doc_id", "rep")
+    met = stored(met.join(reps, "doc_id").select("signature", "band", "rep").distinct(), paths)
+    place = ["signature", "band"]
+    lists = met.groupBy(*place).agg(F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("rep")).alias("h"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("g"))
+    lists = stored(lists.where("members > 1").groupBy("band", "members", "h", "g").agg(F.min("signature").alias("signature")), paths)
+    sketch = classes.select("rep", "n", F.explode(F.arrays_zip("bands", "sketches")).alias("s")).select("rep", "n", F.col("s.bands").alias("band"), F.col("s.sketches").alias("sketch"))
+    rows = met.join(lists.select(*place, "members"), place).join(sketch, ["rep", "band"])
+    blocks = F.ceil(F.col("members") / LIST).cast("int")
+    tasks = max(1, int((lists.agg(F.sum("members")).first()[0] or 0) // LIST))
+    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"large": F.col("blocks") > 1, "i": F.least("block", "with"), "j": F.greatest("block", "with")})
+    rows = rows.withColumn("task", F.when(F.col("large"), F.col("signature")).otherwise(F.pmod(F.xxhash64("signature"), F.lit(tasks))))
+    key = ["large", "task", "i", "j"]
+    pairs = rows.select(*key, *place, "rep", "n", "sketch").groupBy(*key).applyInArrow(_sketched(scheme.percent), "a long, b long")
+    return components(pairs)
+
+
+def links_of(docs: DataFrame, classes: DataFrame, families: DataFrame, width: int, percent: int, block: int, paths: list[str]) -> DataFrame:
+    """Links (a, b) between class representatives that connect all similar ones."""
+    members = stored(families.select(F.col("node").alias("rep"), F.col("component").alias("family")).join(classes.select("rep", "key", "n"), "rep"), paths)
+    sizes = members.groupBy("family").agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"), F.sum("n").alias("size"))
+    tasks = max(1, int((members.agg(F.sum("n")).first()[0] or 0) // block))
+    members = members.join(stored(sizes, paths), "family").withColumn("block", F.pmod(F.xxhash64("rep", "key"), F.col("blocks")).cast("int"))
+    members = members.withColumn("task", F.when(F.col("blocks") > 1, F.col("family")).otherwise(F.pmod(F.xxhash64("family"), F.lit(tasks))))
+    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(members.select("rep").distinct(), "rep").dropDuplicates(["rep", "text"])
+    held = stored(members.join(texts, "rep"), paths)
+    # The least class of a family of several blocks goes to all of them.
+    all_blocks = F.sequence(F.lit(0), F.col("blocks") - 1)
+    dealt = held.withColumn("block", F.explode(F.when(F.col("rep") == F.col("family"), all_blocks).otherwise(F.array("block"))))
+    group = [(F.col("blocks") > 1).alias("large"), "task", "block"]
+    links = stored(dealt.groupBy(*group).applyInArrow(_search(width, percent), "a long, b long"), paths)
+    several = held.where("blocks > 1")
+    if several.isEmpty():
+        return links
+    joined = components(links).select(F.col("node").alias("rep"), "component")
+    several = stored(several.join(joined, "rep", "left").withColumn("joined", F.coalesce("component", "rep")).drop("component"), paths)
+    parts = several.groupBy("family", "joined").agg(F.sum("n").alias("part"))
+    base = parts.groupBy("family").agg(F.max_by("joined", F.struct("part", "joined")).alias("base"), F.sum("part").alias("whole"), F.max("part").alias("most"))
+    base = stored(base.where("whole > most").select("family", "base", F.ceil((F.col("whole") - F.col("most")) / block).cast("int").alias("turns")), paths)
+    rows = several.join(base, "family")
+    asked = rows.where("joined <> base").withColumn("turn", F.pmod(F.xxhash64("key"), F.col("turns")).cast("int")).withColumn("block", F.explode(all_blocks)).withColumn("asked", F.lit(True))
+    held_in = rows.withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).withColumn("asked", F.lit(False))
+    columns = ["family", "block", "turn", "asked", "rep", "key", "joined", "text"]
+    more = asked.select(columns).unionByName(held_in.select(columns)).groupBy("family", "block", "turn").applyInArrow(_search_others(width, percent), "a long, b long")
+    return links.unionByName(stored(more, paths))
+
+
 def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = stored(signatures(docs, repeated_filter(docs, width), width, percent))
-    classes = stored(signed.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("rep")))
-    reps = signed.where("size(prefix) > 0").select("key", "doc_id", "n", "prefix").join(classes.withColumnRenamed("rep", "doc_id"), ["key", "doc_id"])
-    # Linked sets differ in size by the similarity at most, so they share one of their two bands.
-    bands = lambda n: F.floor(F.log(n) / (BAND * math.log(100 / percent))).cast("int")
-    both = lambda n: F.explode(F.array(bands(n), bands(n) - 1))
-    posted = reps.select("doc_id", "n", F.explode("prefix").alias("shingle")).select("doc_id", "shingle", both(F.col("n")).alias("band"))
-    key = ["shingle", "band"]
-    shared = posted.groupBy(*key).agg(F.count(F.lit(1)).alias("df"), F.min("doc_id").alias("least")).where("df > 1").select(*key, "least")
-    candidates = posted.join(stored(shared), key).select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
-    families = components(candidates).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
-    members = families.join(signed.where("shingles is not null").select("doc_id", "n").distinct(), "doc_id")
-    sizes = families.groupBy("family").agg(F.count(F.lit(1)).alias("members"))
-    members = members.join(sizes, "family").withColumn("large", F.col("members") > block)
-    # Small families share tasks. A large one is searched band by band, and a band of more classes than
-    # a block by pairs of blocks.
-    members = stored(members.withColumn("band", F.explode(F.when(F.col("large"), F.array(bands(F.col("n")), bands(F.col("n")) - 1)).otherwise(F.array(F.lit(0))))))
-    groups = stored(members.where("large").groupBy("family", "band").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")))
-    members = members.join(groups, ["family", "band"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    members = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    bundles = max(1, int((signed.where("shingles is not null").agg(F.sum("n")).first()[0] or 0) // TASK_SHINGLES))
-    members = members.withColumn("bundle", F.when(F.col("large"), -1 - F.col("family")).otherwise(F.pmod(F.xxhash64("family"), F.lit(bundles))))
-    sets = signed.where("shingles is not null").join(classes.withColumnRenamed("rep", "doc_id"), ["key", "doc_id"]).select("doc_id", "shingles")
-    dealt = sets.join(members, "doc_id").withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bundle", "band", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "family", "doc_id", "shingles")
-    links = stored(dealt.groupBy("bundle", "band", "i", "j").applyInPandas(_search(percent), "a long, b long"))
-    joined = components(links).select(F.col("node").alias("rep"), "component")
-    classes = stored(classes.join(joined, "rep", "left").select("key", F.coalesce("component", "rep").alias("component")))
-    out = signed.where("key is not null").select("doc_id", "n", "key").join(classes, "key", "left")
-    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id"))
-    return out.unionByName(signed.where("key is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    scheme, paths = Scheme(percent), []
+    signed = stored(signed_sets(docs, scheme, width))
+    known = signed.where("key is not null and doc_id is not null")
+    # All rows of a class have the same sketches.
+    classes = stored(known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketches").alias("sketches")), paths)
+    links = links_of(docs, classes, candidates(docs, signed, classes, scheme, width, paths), width, percent, block, paths)
+    nodes = signed.select("doc_id", "n", "key")
+    rows = stored(nodes.where("key is not null").join(classes.select("key", "rep"), "key", "left"))
+    # A doc_id with several texts joins their classes.
+    twice = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most").select("doc_id")
+    same = rows.join(twice, "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    joined = stored(components(links.unionByName(same)).withColumnRenamed("node", "rep"))
+    release(docs.sparkSession, paths)
+    out = rows.join(joined, "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep")).alias("component_id"))
+    return out.unionByName(nodes.where("key is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))

@@ -90,28 +90,85 @@ def test_substring_dedup(spark):
     assert substring_dedup.remove_repeats(empty(spark)).count() == 0
 
 
-def brute_jaccard(rows):
+def brute_jaccard(rows, width=3, percent=90):
     low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     sets = []
     for t in rows:
         w = re.findall(WORD, (t or "").translate(low))
-        sets.append({tuple(w[k : k + 3]) for k in range(len(w) - 2)} if len(w) >= 3 else {tuple(w)} if w else set())
+        sets.append({tuple(w[k : k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set())
     up = list(range(len(sets)))
     for a, b in itertools.combinations(range(len(sets)), 2):
-        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
             x, y = up[a], up[b]
             up = [min(x, y) if z in (x, y) else z for z in up]
     return {k: (len(s), up[k]) for k, s in enumerate(sets)}
 
 
-def test_jaccard_join(spark):
-    want = brute_jaccard(texts())
-    for block in (1024, 2):
-        got = jaccard_join.join(table(spark), block=block).collect()
-        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+def edited(seed=5):
+    """Clusters whose members have few to many words changed, around the similarity asked for; passages that many share."""
+    rng = random.Random(seed)
+    words = [f"w{k}" for k in range(400)]
+    say = lambda n: [rng.choice(words) for _ in range(n)]
+    passage, out = say(70), []
+    for size in (6, 11, 14, 25, 60, 150, 400):
+        base = say(size)
+        for k in range(9):
+            near = list(base)
+            for j in rng.sample(range(size), min(size, rng.randint(0, max(1, size // 40)))):
+                near[j] = rng.choice(words)
+            out.append(" ".join(near[k % 2 :]))
+    return out + [" ".join(say(25) + passage + say(25)) for _ in range(20)]
+
+
+def test_jaccard_join(spark, monkeypatch):
+    whole, cut = (jaccard_join.BLOCK, jaccard_join.LIST, 1_000_000, 48), (300, 3, 2000, 1)  # cut: families and signatures dealt over blocks
+    for rows, width, percent, (block, most, posts, short) in ((texts() + edited(), 3, 90, whole), (edited(), 3, 90, cut), (edited(6), 5, 80, cut)):
+        monkeypatch.setattr(jaccard_join, "LIST", most)
+        monkeypatch.setattr(jaccard_join, "POSTS", posts)
+        monkeypatch.setattr(jaccard_join, "SHORT", short)
+        got = jaccard_join.join(table(spark, rows), width, percent, block=block).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_jaccard(rows, width, percent)
+    monkeypatch.undo()
     assert jaccard_join.join(empty(spark)).count() == 0
-    lone = jaccard_join.join(spark.createDataFrame([(None, "a b c"), (4, "a b c"), (4, "a b c")], "doc_id long, text string")).collect()
-    assert sorted((r["doc_id"] or 0, r["component_id"]) for r in lone) == [(0, None), (4, 4), (4, 4)]
+    lone = jaccard_join.join(spark.createDataFrame([(None, "a b c"), (4, "a b c"), (4, "a b c"), (4, "d e f"), (9, "d e f"), (3, "x")], "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in lone) == [(0, 0), (3, 3), (4, 4), (4, 4), (4, 4), (9, 4)]
+
+
+@pytest.mark.parametrize("percent", (60, 80, 90, 100))
+def test_similar_sets_share_a_post_and_sketches_never_part_them(percent):
+    from quillstream.llm import agreement
+
+    rng = np.random.default_rng(percent)
+    scheme = agreement.Scheme(percent)
+    for _ in range(300):
+        n = int(np.exp(rng.uniform(1, 7)))
+        x = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        changed = int(rng.integers(0, agreement.difference(n, percent) + 1))
+        gone = int(rng.integers(0, changed + 1))
+        y = np.unique(np.concatenate([rng.permutation(x)[gone:], rng.integers(0, 1 << 62, changed - gone).astype(np.uint64)]))
+        same = len(np.intersect1d(x, y))
+        if 100 * same < percent * (len(x) + len(y) - same) or same == max(len(x), len(y)):
+            continue
+        halved = dict(zip(scheme.band(np.array([len(x), len(y)])).tolist(), scheme.needs([x, y]).tolist()))
+        signature, _, owner = scheme.posts([x, y], halved)
+        assert set(signature[owner == 0]) & set(signature[owner == 1])
+        p, q = (dict(s) for s in scheme.sketches([x, y]))
+        shared = set(p) & set(q)
+        assert shared and all(scheme.may_link(np.frombuffer(p[b], "<u8"), np.frombuffer(q[b], "<u8"), len(x), len(y)) for b in shared)
+
+
+def test_a_band_is_halved_until_each_set_fills_enough_parts():
+    from quillstream.llm import agreement
+
+    scheme = agreement.Scheme(80)
+    band = scheme.bands[5]
+    pool = np.arange(1, 200_000, dtype=np.uint64)
+    crowded = pool[agreement._place(pool, band.parts) < 2][: band.first + 1]  # fills two parts at most
+    needs = scheme.needs([crowded])[0]
+    assert needs > 0
+    near = np.append(crowded[:-1], np.uint64(1 << 50))
+    signature, _, owner = scheme.posts([crowded, near], {5: int(needs)})
+    assert set(signature[owner == 0]) & set(signature[owner == 1])
 
 
 @pytest.mark.parametrize("seed", range(6))
