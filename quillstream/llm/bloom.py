@@ -1,4 +1,7 @@
-"""Bloom filters over 64-bit keys, put together block by block and used only up to a stated size."""
+"""Bloom filters over 64-bit keys, put together block by block, of a stated size at most.
+
+Beyond ``MOST`` keys a filter stays at its size and lets more keys pass that it was not given; what
+callers return does not depend on that."""
 
 from __future__ import annotations
 
@@ -12,7 +15,7 @@ from pyspark.sql import DataFrame
 
 from .textkernels import STEP, U, mix
 
-#: Beyond this many keys no filter is made (32 MB at 16 bits a key); callers then do without.
+#: Keys for which a filter has 16 bits each (32 MB); it grows no further.
 MOST = 16_000_000
 BLOCKS = 32
 SCHEMA = "block int, bits binary"
@@ -35,11 +38,9 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": pdf["block"].iloc[:1], "bits": [zlib.compress(bits.tobytes(), 1)]})
 
 
-def key_filter(keys: DataFrame, most: int = MOST) -> np.ndarray | None:
-    """A filter of the column ``key`` with 16 bits a key, or None if there are more than ``most``."""
-    n = keys.count()
-    if n > most:
-        return None
+def key_filter(keys: DataFrame, most: int = MOST) -> np.ndarray:
+    """A filter of the column ``key`` with 16 bits a key, for ``most`` keys at most."""
+    n = min(keys.count(), most)
     size = max(1 << 16, -(-16 * n // (8 * BLOCKS)) * 8 * BLOCKS)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

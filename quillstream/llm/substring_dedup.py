@@ -2,17 +2,20 @@
 
 1. A window is keyed by the least hash of the ``ANCHOR``-word runs in it; consecutive windows with
    the same key are a stretch. Keys of one stretch alone cannot belong to a repeated window and are
-   left out from here on (by a Bloom filter, while the repeated keys are few enough for one).
+   left out from here on, by a Bloom filter of bounded size; others that pass it cost work, not results.
 2. Stretches are counted whole, and the windows of distinct stretches are counted one by one, both
    aggregated before the shuffle: what stands twice or more, in whatever texts, is confirmed.
 3. Texts are dealt over shards by a hash. Each shard gets one place in its own texts of every
    confirmed stretch; these places form passages, which are cut into aligned blocks of about half a
-   window and compiled into the shard's Aho-Corasick automaton over words (pyahocorasick).
+   window and compiled into the shard's Aho-Corasick automaton over words (pyahocorasick). Blocks with the same
+   words around them, a window's reach to either side, count once, so texts that repeat a phrase over
+   and over stay linear.
 4. Every text of the shard streams through the automaton. A hit is extended along its passage as far
-   as the words agree; agreement over a whole window or more is a repeat, and its words are removed.
-   A window inside a passage holds a whole block, so no repeat is missed.
+   as the words agree, within a window's reach; agreement over a whole window or more is a repeat, and
+   its words are removed. A window inside a passage holds a whole block, so no repeat is missed.
 
-Windows are judged on the input. Defined cases: null and empty texts have no words and give an empty
+Windows are confirmed by 64-bit hashes: of n different windows about n * n / 2^65 pairs collide, for
+10^13 some millions, and are taken for repeats. Windows are judged on the input. Defined cases: null and empty texts have no words and give an empty
 text; texts shorter than a window lose nothing; repeated rows repeat each other's windows; rows
 without a doc_id are treated like others; an empty table gives no rows; further columns are passed on
 (a column named n_words or n_removed is replaced).
@@ -37,8 +40,8 @@ WIDTH = 35
 ANCHOR = 8
 #: Windows of one stretch at most; a longer one is cut, which changes no result.
 STRETCH = 2048
-#: Texts of a shard, on average.
-SHARD_ROWS = 1000
+#: Bytes of a shard's texts, on average; a longer text has a shard with little else.
+SHARD_BYTES = 4 << 20
 #: Windows at most in a stretch whose key stands in it once.
 NEAR = WIDTH - ANCHOR + 1
 SPAN = 1 << 20
@@ -175,39 +178,45 @@ class Shard:
     def compile(self, starts: np.ndarray) -> None:
         """Take the sorted numbers of repeated windows' first words and build the automaton."""
         cut = np.flatnonzero(np.diff(starts) > 1) + 1
-        self.passages = [(int(x[0]), int(x[-1]) + self.width) for x in np.split(starts, cut)]
-        self.places: list[list[tuple[int, int]]] = []
+        before = self.width - self.block
+        self.places: list[list[tuple[int, int, int]]] = []  # by phrase: (at, words before it, words from it on)
         known: dict[tuple, int] = {}
+        seen: set[tuple] = set()
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for number, (begin, end) in enumerate(self.passages):
+        for own in np.split(starts, cut):
+            begin, end = int(own[0]), int(own[-1]) + self.width
             letters = self.letters[begin:end].tolist()
             for at in range(0, end - begin - self.block + 1, self.block):
                 phrase = tuple(letters[at : at + self.block])
+                back, ahead = min(at, before), min(end - begin - at, self.width)
+                around = (back, self.h[begin + at - back : begin + at + ahead].tobytes())
+                if around in seen:
+                    continue
+                seen.add(around)
                 if phrase not in known:
                     known[phrase] = len(self.places)
                     self.places.append([])
                     self.automaton.add_word(phrase, known[phrase])
-                self.places[known[phrase]].append((begin + at, number))
+                self.places[known[phrase]].append((begin + at, back, ahead))
         self.automaton.make_automaton()
 
     def repeats(self, begin: int, end: int) -> list[tuple[int, int]]:
         """Spans of repeated words in the text whose words are ``begin:end``."""
         out: list[tuple[int, int]] = []
-        reached: dict[tuple[int, int], int] = {}  # by passage and shift: up to where words were compared
         h, block = self.h, self.block
         for last, phrase in self.automaton.iter(tuple(self.letters[begin:end].tolist())):
             p = begin + last - block + 1
-            for at, number in self.places[phrase]:
-                if reached.get((number, p - at), -1) >= p + block:
+            for at, back, ahead in self.places[phrase]:
+                back, ahead = min(back, p - begin), min(ahead, end - p)
+                if back + ahead < self.width:
+                    continue
+                same = h[p - back : p + ahead] == h[at - back : at + ahead]
+                if same.all():
+                    out.append((p - back, p + ahead))
                     continue
-                first, stop = self.passages[number]
-                back = min(at - first, p - begin)
-                ahead = min(stop - at, end - p)
-                differ = np.flatnonzero(h[p - back : p][::-1] != h[at - back : at][::-1])
-                left = int(differ[0]) if len(differ) else back
-                differ = np.flatnonzero(h[p : p + ahead] != h[at : at + ahead])
+                left = back - 1 - int(np.flatnonzero(~same[:back])[-1]) if not same[:back].all() else back
+                differ = np.flatnonzero(~same[back:])
                 right = int(differ[0]) if len(differ) else ahead
-                reached[number, p - at] = p + max(right, block)
                 if left + right >= self.width and right >= block:
                     out.append((p - left, p + right))
         return out
@@ -225,7 +234,7 @@ def _remove(width: int, schema: T.StructType, untouched: bool):
         words = Words(data, offsets)
         gone = np.zeros(len(words), bool)
         if places.num_rows and docs.num_rows:
-            at = {row: k for k, row in reversed(list(enumerate(docs.column("row").to_pylist())))}
+            at = {row: k for k, row in reversed(list(enumerate(docs.column(ROW).to_pylist())))}
             starts = []
             for row, pos, n, some in zip(*(places.column(c).to_pylist() for c in ("row", "pos", "n", "some"))):
                 base = int(words.first[at[row]]) + pos
@@ -254,17 +263,19 @@ def _remove(width: int, schema: T.StructType, untouched: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, untouched: bool = False, shard_rows: int = SHARD_ROWS) -> DataFrame:
+ROW, SHARD = "_repeats_row", "_repeats_shard"
+
+
+def remove_repeats(docs: DataFrame, width: int = WIDTH, untouched: bool = False, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``docs`` with the kept words of ``text``, joined by one blank, and n_words and n_removed.
     ``untouched``: a text that loses nothing stays as it is, white space included."""
     spark = docs.sparkSession
     bounded_batches(spark)
     docs = docs.drop("n_words", "n_removed").withColumn("text", F.col("text").cast("string"))
-    shards = max(1, -(-docs.count() // shard_rows))
-    columns = docs.columns
-    own = "doc_id" if "doc_id" in columns else F.lit(0)
+    shards = 1 + (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // shard_bytes
+    own = "doc_id" if "doc_id" in docs.columns else F.lit(0)
     row = F.xxhash64(own, "text")
-    dealt = docs.withColumns({"row": row, "shard": F.pmod(row, F.lit(shards)).cast("int")})
-    places = confirmed(dealt.select("text", "row", "shard"), width)
+    dealt = docs.withColumns({ROW: row, SHARD: F.pmod(row, F.lit(shards)).cast("int")})
+    places = confirmed(dealt.select("text", F.col(ROW).alias("row"), F.col(SHARD).alias("shard")), width)
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-    return dealt.groupBy("shard").cogroup(places.groupBy("shard")).applyInArrow(_remove(width, schema, untouched), schema)
+    return dealt.groupBy(SHARD).cogroup(places.groupBy("shard")).applyInArrow(_remove(width, schema, untouched), schema)
