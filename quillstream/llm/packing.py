@@ -4,8 +4,10 @@ Each document's ids (by the tokenizers library) are cut into pieces of at most `
 a document that is longer than that has its short piece first. Full pieces are sequences of their
 own. The others are dealt over partitions by a hash and packed best-fit decreasing; a lower bound
 from dual feasible functions certifies partitions that use the fewest sequences possible. Those with
-a gap put their unfilled sequences' pieces into a pool, the pool is dealt anew over fewer partitions
-and packed again, until every partition is certified or a round saves nothing.
+a gap put their unfilled sequences' pieces into a pool, the pool is dealt anew and packed again. A
+round that saves sequences takes the place of the one before; the rounds end when every partition is
+certified, one partition holds the pool, or a round saves less than ``LEAST_GAIN`` of its sequences.
+``certified`` tells of each piece whether its sequence is full or its partition has no gap.
 
 Defined cases: null text is empty and gives one piece with the end id alone; repeated rows are
 packed each; an empty table gives no rows; only ``doc_id`` and ``text`` are read, so further columns
@@ -31,8 +33,10 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces of one packing task, on average.
 PIECES = 20_000
-#: Chances to exchange pieces between partitions that have a gap.
-ROUNDS = 4
+#: Share of its sequences that a round of exchange must save for another to follow.
+LEAST_GAIN = 1e-4
+#: Bits of a sequence's number within its partition and of the partition's; the round's are above.
+BIN_BITS, PART_BITS = 24, 33
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PIECE_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
@@ -59,7 +63,8 @@ def coder(path: str) -> ChunkTable:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    added = [re.escape(x.content) for x in tokenizer.get_added_tokens_decoder().values()]
+    unsafe = re.compile("|".join([UNSAFE.pattern, *added]))  # added tokens may stand anywhere in a text
     model, letters = tokenizer.model, byte_letters()
     split = regex.compile(public_tokenizers.PATTERN)
 
@@ -76,7 +81,7 @@ def coder(path: str) -> ChunkTable:
     def encode(parts: list[str]) -> list[list[int]]:
         return [[x.id for x in model.tokenize(p.encode("utf-8").decode("latin-1").translate(letters))] for p in parts]
 
-    _coders[path] = ChunkTable(whole, pieces, encode, UNSAFE)
+    _coders[path] = ChunkTable(whole, pieces, encode, unsafe)
     return _coders[path]
 
 
@@ -177,34 +182,39 @@ def _packed(pdf: pd.DataFrame, capacity: int, base: int) -> pd.DataFrame:
 
 def _packer(capacity: int, number: int):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return _packed(pdf, capacity, ((number + 1) << 40) + (int(key[0]) << 24)).drop(columns="part")
+        return _packed(pdf, capacity, (number << (BIN_BITS + PART_BITS)) + (int(key[0]) << BIN_BITS)).drop(columns="part")
 
     return run
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, pieces_per_task: int = PIECES, rounds: int = ROUNDS) -> DataFrame:
-    """Add sequence_id and offset to the rows of ``token_pieces``."""
+def pack(pieces: DataFrame, capacity: int = CAPACITY, pieces_per_task: int = PIECES) -> DataFrame:
+    """Add sequence_id, offset and certified to the rows of ``token_pieces``."""
     pieces = stored(pieces)
     full = pieces.where(F.col("length") == capacity)
-    rest = pieces.where(F.col("length") < capacity)
+    open_ = pieces.where(F.col("length") < capacity)
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     done: list[DataFrame] = []
-    for number in range(rounds):
-        n = rest.count()
-        if not n:
+    number, before, last = 0, None, None
+    n = open_.count()
+    while n:
+        # Dealt by place in the stored table, so equal rows are parted.
+        tasks = -(-n // pieces_per_task)
+        part = F.pmod(F.xxhash64(F.lit(number), F.monotonically_increasing_id()), F.lit(tasks)).cast("int")
+        placed = stored(open_.select(*columns, part.alias("part")).groupBy("part").applyInPandas(_packer(capacity, number), PLACED))
+        used = placed.agg(F.countDistinct("sequence_id")).first()[0]
+        if last is not None and used >= before:
+            done.append(last)  # what it was made from stays
             break
-        tasks = max(1, -(-n // pieces_per_task))
-        deal = F.pmod(F.xxhash64(F.lit(number), "doc_id", "piece", "start"), F.lit(tasks)).cast("int")
-        columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
-        placed = stored(rest.select(*columns, deal.alias("part")).groupBy("part").applyInPandas(_packer(capacity, number), PLACED))
-        gaps = placed.where("not certified").agg(F.count(F.lit(1)).alias("open"), F.countDistinct(F.floor(F.col("sequence_id") / (1 << 24))).alias("parts")).first()
-        if gaps["parts"] < 2 or number == rounds - 1:  # one partition's rest packed alone again would give the same
-            done.append(placed)
+        left = placed.where("not certified")
+        gaps = left.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("sequence_id").alias("used"), F.countDistinct(F.shiftright("sequence_id", BIN_BITS)).alias("parts")).first()
+        if gaps["parts"] < 2 or (last is not None and before - used < LEAST_GAIN * before) or number == 63:
+            done.append(placed)  # one partition's rest packed alone again would give the same
             break
         done.append(placed.where("certified"))
-        rest = placed.where("not certified").select(*columns)
-    own = full.select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+        open_, last, before, n, number = left.select(*columns), left, gaps["used"], gaps["n"], number + 1
+    own = full.select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(True).alias("certified"))
     for placed in done:
-        own = own.unionByName(placed.drop("certified", "gap"))
+        own = own.unionByName(placed.drop("gap"))
     return own
 
 
