@@ -15,10 +15,11 @@ from collections.abc import Callable
 
 import numpy as np
 
-#: Entries of the tables: chunks, pieces that stay, pieces that are forgotten together.
-CHUNKS = 700_000
-PIECES = 800_000
-RECENT = 200_000
+#: Entries of the tables: chunks, pieces that stay, pieces that are forgotten together. With keys of
+#: ``KEPT_CHARS`` at most and their ids an entry takes some 200 bytes, 400 at most.
+CHUNKS = 120_000
+PIECES = 60_000
+RECENT = 30_000
 #: Longer chunks and pieces are not kept.
 KEPT_CHARS = 48
 
