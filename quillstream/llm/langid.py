@@ -111,7 +111,8 @@ class Predictor:
             weight = np.count_nonzero(matrix, axis=1) / LENGTH
             logs = self.windows(matrix) * weight[:, None]
             total = np.vstack([np.zeros((1, logs.shape[1])), np.cumsum(logs, axis=0, dtype=np.float64)])
-            per = (total[first[1:]] - total[first[:-1]]) / np.maximum(1, np.diff(first))[:, None]
+            mass = np.concatenate([[0], np.cumsum(weight)])
+            per = (total[first[1:]] - total[first[:-1]]) / np.maximum(1e-9, mass[first[1:]] - mass[first[:-1]])[:, None]
             probability = np.exp(log_softmax(per))
             best[a:b] = probability.argmax(axis=1)
             chance[a:b] = probability.max(axis=1)
@@ -172,8 +173,9 @@ def training_windows(docs: DataFrame, max_docs: int) -> DataFrame:
     """(lang, windows): evenly spaced windows of the documents to learn from."""
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = known.where("text is not null and lang is not null and text rlike '\\\\p{L}'").where(~held_out("doc_id"))
-    chosen = known.select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(max_docs).agg(F.max("h").alias("h")).first()["h"]
+    chosen = known.select("doc_id", F.xxhash64("doc_id").alias("h")).distinct().orderBy("h", "doc_id").limit(max_docs).agg(F.max("h").alias("h")).first()["h"]
     known = known.where(F.xxhash64("doc_id") <= F.lit(chosen if chosen is not None else -(1 << 63)))
+    known = known.groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("r")).select("r.text", "r.lang")  # a row for each doc_id
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
