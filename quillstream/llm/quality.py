@@ -10,8 +10,8 @@ fixed sequence need not divide by its candidates. The last allowed cutoff, which
 used; where none is allowed, the rule rejects nothing there.
 
 Defined cases: a null text has no words and fails the base rule; with no labels no method rule
-rejects; labels of ids that no document has, and null labels, are ignored; a document labelled more
-than once counts once for each label; repeated rows are judged each; an empty table gives no rows.
+rejects; labels of ids that no document has, and null labels, are ignored; a document with several
+good labels counts once; repeated rows are judged each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -147,7 +147,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, delta: f
 
     What is collected is one row for each stratum: a count for each rule and candidate.
     """
-    good = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("_quality")).where("_quality = 1")
+    good = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("_quality")).where("_quality = 1").distinct()
     counts = [
         F.count_if(ratios()[rule] > cutoff).alias(f"{rule}_{k}") for rule, grid in RULES.items() for k, cutoff in enumerate(grid)
     ]
