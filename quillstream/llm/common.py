@@ -6,7 +6,7 @@ import atexit
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir); a folder of our own only where it is unset, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _own_dirs:
             _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="quillstream-")
@@ -40,6 +43,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _own_dirs: dict[str, str] = {}
+#: Paths of the tables of ``stored`` that have not been released.
+_written: list[str] = []
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -57,6 +62,7 @@ def stored(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillstream/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     if keep is not None:
         keep.append(path)
     atexit.register(_remove, spark, path)
@@ -67,9 +73,20 @@ def release(spark: SparkSession, paths: list[str]) -> None:
     """Delete tables of ``stored`` that no later plan reads."""
     for path in paths:
         _remove(spark, path)
+        if path in _written:
+            _written.remove(path)
     paths.clear()
 
 
+def stored_alone(make: Callable[[], DataFrame]) -> tuple[DataFrame, list[str]]:
+    """What ``make`` returns, stored, and its path; tables that were stored meanwhile are deleted."""
+    before = len(_written)
+    kept: list[str] = []
+    out = stored(make(), kept)
+    release(out.sparkSession, [p for p in _written[before:] if p not in kept])
+    return out, kept
+
+
 def held_out(doc_id) -> F.Column:
     """The documents that no model learns from: crc32 of the id as text, modulo 4, is 2."""
     return F.crc32(F.col(doc_id).cast("string")) % 4 == 2 if isinstance(doc_id, str) else F.crc32(doc_id.cast("string")) % 4 == 2
@@ -100,7 +117,3 @@ def spans(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         last = min(max(last, first + 1), n)
         yield first, last
         first = last
-
-
-def env_threads() -> int:
-    return int(os.environ.get("OMP_NUM_THREADS", "1") or 1)
