@@ -37,7 +37,7 @@ def texts():
 def table(spark, rows=None, n=2):
     rows = texts() if rows is None else rows
     df = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in enumerate(rows)], DOCS)
-    return df.withColumns({"text_": F.lit("x"), "node": F.lit(1), "h": F.lit(2), "row": F.lit(3), "shard": F.lit(4)}).drop("row", "shard").repartition(n)
+    return df.withColumns({"text_": F.lit("x"), "node": F.lit(1), "h": F.lit(2), "row": F.lit(3), "shard": F.lit(4)}).repartition(n)
 
 
 def empty(spark):
@@ -82,14 +82,27 @@ def brute_windows(rows):
 
 def test_substring_dedup(spark):
     rows = texts()
-    for shard_rows in (1000, 5):
-        got = substring_dedup.remove_repeats(table(spark), shard_rows=shard_rows).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("k")).collect()
+    rows += ["the same few words " * 80, "the same few words " * 40 + "and more", "la " * 3000]  # periodic texts
+    for shard_bytes in (1 << 22, 4000):
+        got = substring_dedup.remove_repeats(table(spark, rows), shard_bytes=shard_bytes).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("k")).collect()
         assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["k"]) for r in got} == dict(enumerate(brute_windows(rows)))
     kept = {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(table(spark), untouched=True).collect()}
     assert kept[2] == rows[2] and kept[8] == rows[8]
     assert substring_dedup.remove_repeats(empty(spark)).count() == 0
 
 
+def test_substring_dedup_is_linear_on_one_word_texts():
+    data = np.frombuffer(b"la " * 200_000, np.uint8)
+    words = substring_dedup.Words(data, np.array([0, len(data)]))
+    shard = substring_dedup.Shard(words, 35)
+    shard.compile(np.arange(len(words) - 34))
+    gone = np.zeros(len(words), bool)
+    assert sum(map(len, shard.places)) < 40
+    for a, b in shard.repeats(0, len(words)):
+        gone[a:b] = True
+    assert gone.all()
+
+
 def brute_jaccard(rows, width=3, percent=90):
     low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     sets = []
@@ -208,7 +221,6 @@ def test_packing(spark):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     rows = [*texts(), "a  b", " lead", "trail ", "x \n y", "<|endoftext|> it's 3x!", "word " * 3000]
     want = {k: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4") for k, t in enumerate(rows)}
     got = packing.pack_documents(table(spark, rows), path, 128).toPandas()
@@ -469,3 +481,64 @@ def test_pipeline_drops_copies_near_by_five_words(spark, tmp_path):
         far[k] = f"other{k}"
     docs = table(spark, [" ".join(words), " ".join(near), " ".join(far)])
     assert {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path)).collect()} == {0, 2}
+
+
+def test_pipeline_stages_on_odd_tables(spark, tmp_path):
+    """Nulls, empty texts, columns named like those that stages add, and an empty table."""
+    import corpus_pipeline
+
+    spark.createDataFrame([(k, 1, int(k % 2)) for k in range(8)] + [(None, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = [(k, t, "en", "s", 0) for k, t in enumerate(texts())] + [(None, "one two three", None, None, None), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, DOCS).select("*", *[F.lit(c).alias(c) for c in ("score", "predicted", "held_out", "lang_pred", "n_words", "n_removed", "row", "shard", "text_key")])
+    for stage in (corpus_pipeline.language_id, corpus_pipeline.remove_toxic, corpus_pipeline.drop_near_copies, corpus_pipeline.remove_repeats):
+        got = stage(spark, docs, str(tmp_path))
+        assert got.schema.names == docs.schema.names
+        assert all(r[c] == c for r in got.collect() for c in docs.columns[5:])
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+    assert {r["doc_id"] for r in corpus_pipeline.pack(spark, docs, str(tmp_path)).collect()} == {*range(len(texts())), None}
+    assert corpus_pipeline.pack(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_toxicity_features_are_the_character_ngrams_of_each_text():
+    rows = ["Été 日本\tß!", "", "aaaa", "x" * 3, "😀 a b c", "ab"]
+    data = "".join(rows).encode()
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in rows])])
+    text, feature = toxicity.features(np.frombuffer(data, np.uint8), offsets)
+    low = [re.sub(r"\s", " ", t.lower()) for t in rows]
+    want = [{t[a : a + n] for n in toxicity.ORDERS for a in range(len(t) - n + 1)} for t in low]
+    assert np.bincount(text, minlength=len(rows)).tolist() == [len(x) for x in want]
+    assert len(np.unique(feature)) == len(set().union(*want))
+    alone, one = toxicity.features(np.frombuffer(low[0].encode(), np.uint8), np.array([0, len(low[0].encode())]))
+    assert sorted(one) == sorted(feature[text == 0])
+
+
+def test_toxicity_counts_choice_and_score_by_brute_force(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [" ".join(rng.choice(["bad", "ugly"] if k % 3 == 0 and rng.random() < 0.5 else ["fine", "good", "day", "sun"]) for _ in range(12)) for k in range(120)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    model = toxicity.train(docs, labels)
+    learnt = [k for k in range(120) if zlib.crc32(str(k).encode()) % 4 != 2]
+    sets = {k: {t[a : a + n] for t in [rows[k]] for n in toxicity.ORDERS for a in range(len(t) - n + 1)} for k in learnt}
+    n1 = sum(k % 3 == 0 for k in learnt)
+    n0 = len(learnt) - n1
+
+    def statistic(gram):
+        c = [sum(gram in sets[k] for k in learnt if (k % 3 == 0) == one) for one in (False, True)]
+        share = sum(c) / (n0 + n1)
+        cells = [(c[0], n0 * share), (c[1], n1 * share), (n0 - c[0], n0 * (1 - share)), (n1 - c[1], n1 * (1 - share))]
+        return sum(c) > 1 and 2 * sum(x * np.log(x / e) for x, e in cells if x) >= toxicity.LEAST
+
+    chosen = {g for g in set().union(*sets.values()) if statistic(g)}
+    assert len(model.chosen) == len(chosen)
+    code = {}
+    for g in chosen:
+        h = 0
+        for c in g:
+            h = (h * 0xD6E8FEB86659FD93 + ord(c) + 1) % (1 << 64)
+        code[g] = int(toxicity.mix(np.array([(h + len(g) * int(toxicity.STEP)) % (1 << 64)], np.uint64))[0])
+    weight = dict(zip(model.chosen.tolist(), model.weight.tolist()))
+    assert set(code.values()) == set(weight)
+    for r in toxicity.score(docs, model).collect():
+        z = model.bias + sum(weight[code[g]] for g in chosen if g in r["text"])
+        assert abs(r["score"] - 1 / (1 + np.exp(-z))) < 1e-9
