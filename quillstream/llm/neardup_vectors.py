@@ -13,9 +13,10 @@ tables follows from ``bits`` so that a pair at the threshold is missed with prob
 most (pairs nearer than that, far less).
 
 Defined cases: vectors that are null, empty, all zero or with null or non-finite components link
-with nothing and are their own components; vectors of different lengths don't link; rows with a
-null vec_id are left out; rows that repeat a vec_id with the same vector count once; an empty table
-gives no rows; labels and other columns are ignored.
+with nothing and are their own components; vectors of different lengths don't link; a row with a null
+vec_id links with nothing, has no component and is kept; rows that repeat a vec_id with the same vector
+are one vector, and each gets its result; an empty table gives no rows; labels and other columns are
+ignored. The result has no order.
 """
 
 from __future__ import annotations
@@ -123,12 +124,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, miss: floa
     """One row per vector: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
     bounded_batches(spark)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("x")).where("vec_id is not null")
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("x"))
     fine = F.coalesce((F.size("x") > 0) & ~F.exists("x", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))) & F.exists("x", lambda v: v != 0), F.lit(False))
-    rows = stored(rows.select("vec_id", F.when(fine, F.transform("x", lambda v: v + F.lit(0.0))).alias("x")).withColumn("key", F.when(fine, F.sha2(F.to_json("x"), 256))).dropDuplicates(["vec_id", "key"]))
-    classes = stored(rows.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
+    rows = stored(rows.select("vec_id", F.when(fine, F.transform("x", lambda v: v + F.lit(0.0))).alias("x")).withColumn("key", F.when(fine & F.col("vec_id").isNotNull(), F.sha2(F.to_json("x"), 256))))
+    once = rows.where("key is not null").select("vec_id", "key").distinct()
+    classes = stored(once.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
     bits, tables = shape(classes.count(), threshold, miss)
-    reps = classes.join(rows.select(F.col("vec_id").alias("rep"), "key", "x"), ["key", "rep"])
+    reps = classes.join(rows.select(F.col("vec_id").alias("rep"), "key", "x"), ["key", "rep"]).dropDuplicates(["key"])
     buckets = reps.select("rep", "x").mapInArrow(_blocks(bits, tables), "rep long, size int, tab int, bucket long, unit binary, signs binary")
     where = ["size", "tab", "bucket"]
     sizes = buckets.groupBy(where).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -145,4 +147,4 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, miss: floa
     out = rows.where("key is not null").select("vec_id", "key").join(classes, "key", "left").drop("key")
     alone = rows.where("key is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     out = out.unionByName(alone).select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
