@@ -4,9 +4,8 @@ The model file's protobuf is parsed here; from it the normaliser (character map,
 the marker for blanks, the marker in front), the model (unigram scores, or merges ranked by the
 scores of what they make) and byte fallback are rebuilt as a tokenizers pipeline. Texts are encoded
 by blank-separated chunks in multithreaded batches of the chunks a worker has not met, where no piece
-of the vocabulary reaches over a blank and the normaliser changes nothing; else whole. Every batch of
-chunks and every whole text is also encoded by the sentencepiece library; ``parity`` tells whether
-all of a text's parts agreed.
+of the vocabulary reaches over a blank and the normaliser changes nothing; else whole. Every whole
+text is also encoded by the sentencepiece library; ``parity`` tells whether its ids are the same.
 
 Defined cases: null text is empty, with no ids; texts with several blanks in a row, blanks at an end
 or the marker itself are encoded whole; repeated rows are encoded each; an empty table gives no rows.
@@ -146,17 +145,16 @@ class Codec:
         self.tokenizer = self.file.tokenizer()
         self.reference = sentencepiece.SentencePieceProcessor(model_file=path)
         self.by_chunk = self.file.dummy_prefix and not self.file.character_map and not self.file.collapse and not self.file.reaches_over_blank()
-        self.known: dict[str, tuple[bytes, bool]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def batch(self, texts: list[str]) -> list[tuple[bytes, bool]]:
-        """(ids, parity) of whole texts, by the library's threads."""
-        got = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        return [(pack(a), a == b) for a, b in zip(got, self.reference.encode(texts, num_threads=1))]
+    def batch(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts, by the library's threads."""
+        return [pack(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
         """(ids as little-endian unsigned 32-bit numbers, parity) of each text."""
         whole = [k for k, x in enumerate(texts) if x and (not self.by_chunk or RUNS.search(x))]
-        out: list = [(b"", True)] * len(texts)
+        out = [b""] * len(texts)
         for k, found in zip(whole, self.batch([texts[k] for k in whole]) if whole else []):
             out[k] = found
         rest = sorted({*range(len(texts))} - {*whole})
@@ -166,11 +164,10 @@ class Codec:
         missing = list({x: 0 for parts in chunks.values() for x in parts if x not in known})
         fresh = dict(zip(missing, self.batch(missing))) if missing else {}
         for k, parts in chunks.items():
-            found = [known.get(x) or fresh[x] for x in parts]
-            out[k] = (b"".join([x[0] for x in found]), all([x[1] for x in found]))
+            out[k] = b"".join([known[x] if x in known else fresh[x] for x in parts])
         if len(known) < CHUNKS:
             known.update((x, v) for x, v in fresh.items() if len(x) <= KEPT_CHARS)
-        return out
+        return [(x, x == pack(y)) for x, y in zip(out, self.reference.encode(texts, num_threads=1))]
 
     def decode(self, packed: list[bytes]) -> list[str]:
         return self.tokenizer.decode_batch([np.frombuffer(x, "<u4").tolist() for x in packed], skip_special_tokens=False)
