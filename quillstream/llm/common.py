@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+pa.set_memory_pool(pa.system_memory_pool())  # freed batches go back to the system, not to a pool of the worker
+
 #: Rows and bytes of an Arrow batch sent to Python: texts can be long, so a batch holds few of them.
 BATCH_ROWS = 1000
 BATCH_BYTES = 16 << 20
