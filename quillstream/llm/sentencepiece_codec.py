@@ -6,7 +6,8 @@ scores of what they make) and byte fallback are rebuilt as a tokenizers pipeline
 by blank-separated chunks in multithreaded batches of the chunks a worker has not met, where no piece
 of the vocabulary reaches over a blank and the normaliser changes nothing; else whole. Every batch of
 chunks and every whole text is also encoded by the sentencepiece library; ``parity`` tells whether
-all of a text's parts agreed.
+all of a text's parts agreed. That is the whole text's parity: where no piece reaches over a blank,
+neither library can merge over one, so each gives a text the ids of its chunks.
 
 Defined cases: null text is empty, with no ids; texts with several blanks in a row, blanks at an end
 or the marker itself are encoded whole; repeated rows are encoded each; an empty table gives no rows.
@@ -34,8 +35,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 #: Texts in which blanks make runs or stand at an end, or that hold the marker itself, which merges with that of a blank.
 RUNS = re.compile(rf"  |^ | $|{MARK}")
-#: Chunks that a worker keeps, some 250 bytes each.
-CHUNKS = 150_000
+#: Chunks that a worker keeps, some 250 bytes each, 100 MB.
+CHUNKS = 400_000
 KEPT_CHARS = 48
 
 
