@@ -70,10 +70,13 @@ def heading_key(c: Column) -> Column:
     return casefold(collapse(F.regexp_replace(strip(c), r"^\d+(?:\.\d+)*\s+", "")))
 
 
+#: A whole run of letters and digits, two or more, that is no stop word.
+TOKEN = f"(?<![a-z0-9])(?!(?:{'|'.join(STOPWORDS)})(?![a-z0-9]))[a-z0-9]{{2,}}"
+
+
 def tokens(c: Column) -> Column:
     """Significant tokens in order, repeats kept."""
-    stop = F.array(*[F.lit(w) for w in STOPWORDS])
-    return F.filter(F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit("[a-z0-9]{2,}"), F.lit(0)), lambda t: ~F.array_contains(stop, t))
+    return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(TOKEN), F.lit(0))
 
 
 def share_in(part: Column, whole: Column) -> Column:

@@ -1,5 +1,5 @@
-"""Operators whose result depends on choices made before: one document or page at a time in pandas.
-Groups are documents or pages, never whole tables."""
+"""Operators whose result depends on choices made before: one document or page at a time in pandas,
+but for ``two_columns``, which is windows. Groups are documents or pages, never whole tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 
 def _squeeze(text: str | None) -> str:
@@ -87,21 +88,26 @@ def drop_page_repeats(lines: DataFrame) -> DataFrame:
 
 def reprinted_run(keys: list[str], least: int = 3, least_chars: int = 400, reach: int = 60) -> tuple[int, int] | None:
     """(first, size) of the run with most characters whose blocks all have, in order, an equal block
-    before the run's start and at most ``reach`` before it."""
-    places: dict[str, list[int]] = {}
-    best, result = 0, None
-    for start in range(len(keys)):
-        at, k, chars = start - reach - 1, start, 0
-        while k < len(keys):
-            at = next((q for q in places.get(keys[k], []) if at < q), None)
-            if at is None:
-                break
-            chars += len(keys[k])
-            k += 1
-        if k - start >= least and chars >= least_chars and chars > best:
-            best, result = chars, (start, k - start)
-        places.setdefault(keys[start], []).append(start)
-    return result
+    before the run's start and at most ``reach`` before it.
+
+    All starts advance together, a block at a time: positions are sorted by key, so one search finds for
+    every run still going the next equal block."""
+    n = len(keys)
+    _, code = np.unique(np.array(keys, object).astype(str), return_inverse=True)
+    places, length = np.sort(code * n + np.arange(n)), np.array([len(x) for x in keys], np.int64)
+    going, met = np.arange(n), np.maximum(np.arange(n) - reach - 1, -1)
+    size, chars, step = np.zeros(n, np.int64), np.zeros(n, np.int64), 0
+    while len(going := going[going + step < n]):
+        base = code[going + step] * n
+        slot = np.searchsorted(places, base + met[going] + 1)
+        equal = np.where(slot < n, places[np.minimum(slot, n - 1)] - base, n)
+        on = equal < going  # an equal block is among those before the start, others are n or more away
+        going, equal = going[on], equal[on]
+        met[going], size[going], chars[going] = equal, size[going] + 1, chars[going] + length[going + step]
+        step += 1
+    chars[(size < least) | (chars < least_chars)] = 0
+    first = int(chars.argmax()) if n else 0
+    return (first, int(size[first])) if n and chars[first] else None
 
 
 def drop_reprints(blocks: DataFrame, marker: str = "doc") -> DataFrame:
@@ -225,29 +231,28 @@ def migrate_fragments(tables: DataFrame, joint: str = "<br>") -> DataFrame:
     return tables.groupBy("doc_id").applyInPandas(run, tables.schema)
 
 
+#: Points between which starts of lines count as one, and the share of a page's width that the second
+#: column lies in at least.
+GRAIN, INDENT = 3.0, 0.3
+
+
 def two_columns(lines: DataFrame) -> DataFrame:
     """Vector lines (doc_id, page, x0, y0, x1, y1, text) with column: R, L, F (full width) or O; null for
     pages without a second column (four starts or more near one x, 30 % of the width in), and where more
-    than 15 % are O."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        left, right = pdf["x0"].min(), pdf["x1"].max()
-        width = right - left
-        out = pdf.assign(column=None)
-        if len(pdf) < 6 or width <= 50:
-            return out
-        inner = pdf["x0"][pdf["x0"] > left + 0.25 * width]
-        starts = inner.map(lambda x: round(x / 3.0)).value_counts()
-        fit = sorted(k * 3.0 for k, n in starts.items() if n >= 4 and k * 3.0 - left >= 0.3 * width)
-        if not fit:
-            return out
-        second = fit[0]
-        near = pdf["x0"] <= left + 0.1 * width
-        column = np.where(pdf["x0"] >= second - 4.5, "R", np.where(near, np.where(pdf["x1"] <= second - 6.0, "L", "F"), "O"))
-        return out if (column == "O").sum() > 0.15 * len(pdf) else out.assign(column=column)
-
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lines.schema)
-    return lines.groupBy("doc_id", "page").applyInPandas(run, f"{fields}, column string")
+    than 15 % are O. Windows by page and by start within a page share one exchange."""
+    page = Window.partitionBy("doc_id", "page")
+    left, width = F.min("x0").over(page), F.max("x1").over(page) - F.min("x0").over(page)
+    out = lines.withColumns({"_left": left, "_width": width, "_lines": F.count(F.lit(1)).over(page)})
+    out = out.withColumn("_start", F.when(F.col("x0") > F.col("_left") + 0.25 * F.col("_width"), F.bround(F.col("x0") / GRAIN) * GRAIN))
+    often = F.count("_start").over(Window.partitionBy("doc_id", "page", "_start")) >= 4
+    out = out.withColumn("_fit", F.when(often & (F.col("_start") - F.col("_left") >= INDENT * F.col("_width")), F.col("_start")))
+    out = out.withColumn("_second", F.when((F.col("_lines") >= 6) & (F.col("_width") > 50), F.min("_fit").over(page)))
+    short = F.col("x1") <= F.col("_second") - 6.0
+    by_place = F.when(F.col("x0") >= F.col("_second") - 4.5, "R").when(F.col("x0") > F.col("_left") + 0.1 * F.col("_width"), "O").when(short, "L").otherwise("F")
+    out = out.withColumn("_column", F.when(F.col("_second").isNotNull(), by_place))
+    stray = F.avg(F.when(F.col("_column") == "O", 1.0).otherwise(0.0)).over(page)
+    out = out.withColumn("column", F.when(stray <= 0.15, F.col("_column")))
+    return out.select(*lines.columns, "column")
 
 
 SKIP = re.compile(r"\s*|\s*(-{3,}|\*{3,}|_{3,})\s*|\s*<!--.*-->\s*")

@@ -14,7 +14,8 @@ from .lines import explode_lines, so_far, with_pages
 def line_repetition(docs: DataFrame, text: str = "md") -> DataFrame:
     """doc_id, max_rep: how often a document's most frequent line stands (0 without one)."""
     lines = explode_lines(docs, text, all_breaks=True).withColumn("s", T.strip(F.col("line"))).where("s <> ''")
-    most = lines.groupBy("doc_id", "s").count().groupBy("doc_id").agg(F.max("count").alias("max_rep"))
+    alike = ["doc_id", F.xxhash64("s").alias("h"), F.length("s").alias("n")]  # hashes are shuffled, not lines
+    most = lines.groupBy(*alike).count().groupBy("doc_id").agg(F.max("count").alias("max_rep"))
     return docs.select("doc_id").join(most, "doc_id", "left").select("doc_id", F.coalesce("max_rep", F.lit(0)).cast("long").alias("max_rep"))
 
 
@@ -24,7 +25,7 @@ def ngram_repetition(docs: DataFrame, text: str = "md", size: int = 3, least_cha
     words = F.filter(F.split(T.strip(F.col("line")), r"(?U)\s+"), lambda w: w != "")
     grams = F.transform(F.sequence(F.lit(1), F.size("w") - (size - 1)), lambda k: F.array_join(F.slice("w", k, F.lit(size)), " "))
     rows = long.withColumn("w", words).where(F.size("w") >= size).select("doc_id", "line_no", F.explode(grams).alias("gram")).where(F.col("gram").rlike(r"\p{L}"))
-    most = rows.groupBy("doc_id", "line_no", "gram").count().groupBy("doc_id").agg(F.max("count").alias("max_gram"))
+    most = rows.groupBy("doc_id", "line_no", F.xxhash64("gram").alias("h"), F.length("gram").alias("n")).count().groupBy("doc_id").agg(F.max("count").alias("max_gram"))
     return docs.select("doc_id").join(most, "doc_id", "left").select("doc_id", F.coalesce("max_gram", F.lit(0)).cast("long").alias("max_gram"))
 
 

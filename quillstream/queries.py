@@ -702,3 +702,6 @@ def absent_runs(spark, sf_dir):
     own = c.where("role = 'assistant'").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     body = c.select(F.col("conv_id").alias("doc_id"), (F.col("turn") + 1).alias("page"), "text")
     return matching.absent_runs(own, body)
+
+
+from . import operator_queries  # noqa: E402, F401 (registers more)

@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from quillstream.functions import geometry as G
@@ -41,3 +43,36 @@ def test_rewrites_and_display_headings(spark):
     assert [r["accepted"] for r in scans.accepts_rewrite(pairs).collect()] == [False, False, True]
     lines = spark.createDataFrame([(1, 1, 0.0, 10.0, "Big", 1), (1, 1, 12.0, 22.0, "Title", 2), (1, 1, 60.0, 70.0, "Next", 2)], "doc_id long, page int, y0 double, y1 double, text string, level int")
     assert [(r["text"], r["level"]) for r in scans.display_headings(lines).orderBy("y0").collect()] == [("Big Title", 1), ("Next", 2)]
+
+
+def test_reprinted_runs_by_trying_every_start():
+    rng = random.Random(0)
+    for _ in range(300):
+        pool = ["x" * (3 * k + 1) for k in range(rng.randint(1, 12))]
+        keys = [rng.choice(pool) for _ in range(rng.randint(0, 40))]
+        least, chars, reach = rng.randint(1, 3), rng.randint(1, 40), rng.choice([3, 10, 60])
+        best, want = 0, None
+        for start in range(len(keys)):
+            at, k = start - reach - 1, start
+            while k < len(keys) and (later := [q for q in range(max(0, at + 1), start) if keys[q] == keys[k]]):
+                at, k = later[0], k + 1
+            size = sum(map(len, keys[start:k]))
+            if k - start >= least and size >= chars and size > best:
+                best, want = size, (start, k - start)
+        assert grouped.reprinted_run(keys, least, chars, reach) == want
+
+
+def test_columns_of_a_page(spark):
+    def page(number, rows):
+        return [(1, number, x0, float(k), x1, k + 1.0, f"{number}.{k}") for k, (x0, x1) in enumerate(rows)]
+
+    two = [(50.0, 280.0)] * 5 + [(310.0, 550.0)] * 5 + [(50.0, 550.0)]
+    rows = page(1, two) + page(2, two[:5] + two[-1:]) + page(3, two + [(120.0, 200.0)] * 3) + page(4, two[:1] + two[5:9]) + page(5, [(50.0, 90.0)] * 6 + [(75.0, 95.0)] * 4)
+    lines = spark.createDataFrame(rows, "doc_id long, page int, x0 double, y0 double, x1 double, y1 double, text string")
+    got = grouped.two_columns(lines).orderBy("page", "y0").collect()
+    by_page = {p: [r["column"] for r in got if r["page"] == p] for p in range(1, 6)}
+    assert by_page[1] == ["L"] * 5 + ["R"] * 5 + ["F"]  # a second column from 310 on
+    assert by_page[2] == [None] * 6  # no start in 30 % of the width
+    assert by_page[3] == [None] * 14  # 3 of 14 lines stand elsewhere
+    assert by_page[4] == [None] * 5 and by_page[5] == [None] * 10  # too few lines; too narrow a page
+    assert grouped.two_columns(lines.limit(0)).count() == 0

@@ -71,3 +71,13 @@ def test_stream_adds_new_content_once(spark, tmp_path):
     ingest(spark, str(root), str(led), str(mark))
     ingest(spark, str(root), str(led), str(mark))
     assert spark.read.parquet(str(led)).count() == 2
+
+
+def test_a_new_checkpoint_does_not_replace_what_is_in_the_ledger(spark, tmp_path):
+    root, led = tmp_path / "in", tmp_path / "ledger"
+    root.mkdir()
+    (root / "a.txt").write_text("one")
+    ingest(spark, str(root), str(led), str(tmp_path / "first"))
+    (root / "b.txt").write_text("two")
+    ingest(spark, str(root), str(led), str(tmp_path / "second"))  # a stream of its own, from batch 0 on
+    assert spark.read.parquet(str(led)).count() == 2
