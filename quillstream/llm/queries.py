@@ -76,7 +76,69 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
     "pipeline": pipeline,
 }
+WORDS = r"""word AS (SELECT doc_id, unnest(range(len(w))) AS k, unnest(w) AS word
+        FROM (SELECT doc_id, regexp_extract_all({}, '[^\x20\x09-\x0D]+') AS w FROM documents))"""
+ASCII_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _run_of(width: int) -> str:
+    """The words from each on, as one text; null where fewer than ``width`` follow."""
+    parts = ", ".join(["word", *(f"lead(word, {k}) OVER own" for k in range(1, width))])
+    return f"CASE WHEN lead(word, {width - 1}) OVER own IS NOT NULL THEN concat_ws(' ', {parts}) END"
+
+
+def _covered(column: str, width: int) -> str:
+    """Whether a run of ``width`` words that starts at the word or before it has ``column``."""
+    return f"max({column}) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN {width - 1} PRECEDING AND CURRENT ROW) = 1"
+
+
 ORACLE: dict[str, str] = {
+    "op1_substring_dedup": f"""
+        WITH {WORDS.format("text")}, run AS (
+            SELECT doc_id, k, word, {_run_of(substring_dedup.WIDTH)} AS g FROM word WINDOW own AS (PARTITION BY doc_id ORDER BY k)
+        ), marked AS (
+            SELECT doc_id, k, word, CASE WHEN g IS NOT NULL AND count(*) OVER (PARTITION BY g) > 1 THEN 1 ELSE 0 END AS again FROM run
+        ), gone AS (SELECT doc_id, k, word, {_covered("again", substring_dedup.WIDTH)} AS gone FROM marked),
+        kept AS (
+            SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY k) FILTER (NOT gone) AS text FROM gone GROUP BY doc_id
+        )
+        SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM documents d LEFT JOIN kept USING (doc_id)
+    """,
+    "op3_ngram_jaccard_join": f"""
+        WITH RECURSIVE {WORDS.format(ASCII_LOWER)}, run AS (
+            SELECT doc_id, {_run_of(jaccard_join.WIDTH)} AS s FROM word WINDOW own AS (PARTITION BY doc_id ORDER BY k)
+            UNION ALL SELECT doc_id, string_agg(word, ' ' ORDER BY k) FROM word GROUP BY doc_id HAVING count(*) < {jaccard_join.WIDTH}
+        ), shingle AS (SELECT DISTINCT doc_id, s FROM run WHERE s IS NOT NULL),
+        size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM common JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * c >= {jaccard_join.PERCENT} * (p.n + q.n - c)
+        ), near AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach(a, b) AS (SELECT a, b FROM near UNION SELECT reach.a, near.b FROM reach JOIN near ON reach.b = near.a),
+        least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(least.b, d.doc_id)) AS component_id
+        FROM documents d LEFT JOIN size USING (doc_id) LEFT JOIN least ON least.a = d.doc_id
+    """,
+    # Where no stratum has the 1,151 good labels that a cutoff needs, ``kept`` is the base rule; sf0.01 has fewer.
+    "op7_quality_rules": f"""
+        WITH {WORDS.format("text")}, run AS (
+            SELECT doc_id, k, word, {_run_of(quality.WIDTH)} AS g FROM word WINDOW own AS (PARTITION BY doc_id ORDER BY k)
+        ), marked AS (
+            SELECT doc_id, k, word, CASE WHEN g IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, g) > 1 THEN 1 ELSE 0 END AS again FROM run
+        ), covered AS (SELECT doc_id, word, {_covered("again", quality.WIDTH)} AS again FROM marked),
+        counted AS (SELECT doc_id, count(*) AS n_words, sum(length(word))::BIGINT AS word_chars, count(*) FILTER (again) AS n_repeat_words FROM covered GROUP BY doc_id),
+        line AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+        lines AS (SELECT doc_id, (count(*) - count(DISTINCT line))::BIGINT AS n_dup_lines FROM line WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+        measured AS (
+            SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+                   coalesce(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')), 0)::BIGINT AS n_symbols,
+                   coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+            FROM documents d LEFT JOIN counted USING (doc_id) LEFT JOIN lines USING (doc_id)
+        )
+        SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS kept FROM measured
+    """,
     "op4_sharding": f"""
         WITH hashed AS (
             SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT AS n_bytes,
