@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -31,6 +33,40 @@ def union_find(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes, nodes[[root(x) for x in range(len(nodes))]]
 
 
+def connect_lists(key: np.ndarray, near: Callable[[np.ndarray, np.ndarray], np.ndarray], short: int, at_once: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of the same ``key`` (sorted) that connect what all near pairs of the key connect.
+    ``near`` compares rows by their numbers, ``at_once`` of them in a call. Keys of up to ``short`` rows
+    are compared pair by pair, together; in others each row is compared with those not reached yet, so
+    a cluster costs about its size."""
+    cuts = np.flatnonzero(np.diff(key)) + 1
+    starts, ends = np.append(0, cuts)[: len(key)], np.append(cuts, len(key))[: len(key)]
+    size = ends - starts
+    a_all, b_all = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+
+    def compare(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.concatenate([near(a[k : k + at_once], b[k : k + at_once]) for k in range(0, len(b), at_once)] or [np.zeros(0, bool)])
+
+    left = np.repeat(ends, size) - np.arange(len(key)) - 1  # rows of the same key that follow
+    left[np.repeat(size > short, size)] = 0
+    for d in range(1, int(left.max(initial=0)) + 1):
+        x = np.flatnonzero(left >= d)
+        x = x[compare(x, x + d)]
+        a_all.append(x)
+        b_all.append(x + d)
+    for s, e in zip(starts[size > short].tolist(), ends[size > short].tolist()):
+        todo, free = [], np.arange(s, e)
+        while len(free) or todo:
+            if not todo:
+                todo, free = [int(free[0])], free[1:]
+            q = todo.pop()
+            found = compare(np.full(len(free), q), free)
+            a_all.append(np.full(int(found.sum()), q))
+            b_all.append(free[found])
+            todo += free[found].tolist()
+            free = free[~found]
+    return np.concatenate(a_all), np.concatenate(b_all)
+
+
 def _finish(links: pd.DataFrame) -> pd.DataFrame:
     nodes, least = union_find(links["a"].to_numpy(), links["b"].to_numpy())
     return pd.DataFrame({"node": nodes, "root": least})

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .agreement import Scheme
 from .common import bounded_batches, release, spans, stored, utf8
-from .components import components, union_find
+from .components import components, connect_lists, union_find
 from .textkernels import LOWER, Words, mix, windows
 
 WIDTH = 3
@@ -207,34 +207,10 @@ def _sketched(percent: int):
             part = rows.filter(pa.array(band_of == band)).sort_by("signature")
             node, n = part.column("rep").to_numpy(), part.column("n").to_numpy()
             sketch = np.frombuffer(b"".join(part.column("sketch").to_pylist()), "<u8").reshape(len(node), -1)
-            signature = part.column("signature").to_numpy()
-            cuts = np.flatnonzero(np.diff(signature)) + 1
-            starts, ends = np.append(0, cuts), np.append(cuts, len(signature))
-            size = ends - starts
-            left = np.repeat(ends, size) - np.arange(len(signature)) - 1  # rows of the same signature that follow
-            left[np.repeat(size > SHORT, size)] = 0
-            at_once = max(1, (4 << 20) // sketch.shape[1])
-            for d in range(1, int(left.max(initial=0)) + 1):
-                x = np.flatnonzero(left >= d)
-                x = x[node[x] != node[x + d]]
-                for k in range(0, len(x), at_once):
-                    y = x[k : k + at_once]
-                    y = y[scheme.may_link(sketch[y], sketch[y + d], n[y], n[y + d])]
-                    a_all.append(node[y])
-                    b_all.append(node[y + d])
-            for s, e in zip(starts[size > SHORT].tolist(), ends[size > SHORT].tolist()):
-                # From each class to those not reached yet: a cluster costs about its size.
-                todo, free = [], np.arange(s, e)
-                while len(free) or todo:
-                    if not todo:
-                        todo, free = [free[0]], free[1:]
-                    q = todo.pop()
-                    near = np.concatenate([scheme.may_link(sketch[q], sketch[free[k : k + at_once]], n[q], n[free[k : k + at_once]]) for k in range(0, len(free), at_once)] or [np.zeros(0, bool)])
-                    found = free[near]
-                    a_all.append(np.full(len(found), node[q]))
-                    b_all.append(node[found])
-                    todo += found.tolist()
-                    free = free[~near]
+            near = lambda x, y: scheme.may_link(sketch[x], sketch[y], n[x], n[y])
+            x, y = connect_lists(part.column("signature").to_numpy(), near, SHORT, max(1, (4 << 20) // sketch.shape[1]))
+            a_all.append(node[x])
+            b_all.append(node[y])
         a, b = np.concatenate(a_all), np.concatenate(b_all)
         apart = a != b
         node, root = union_find(a[apart], b[apart])
