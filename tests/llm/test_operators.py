@@ -338,7 +338,7 @@ def test_tabulated_network_equals_the_plain_one():
     assert np.allclose(langid.Predictor(net).windows(windows), want, atol=1e-4)
 
 
-def test_vectors(spark):
+def test_vectors(spark, monkeypatch):
     rng = np.random.default_rng(0)
     base = rng.normal(size=(6, 16))
     rows = [(k, (base[k % 6] + rng.normal(scale=0.05 * (k % 3), size=16)).tolist()) for k in range(120)]
@@ -348,7 +348,9 @@ def test_vectors(spark):
     unit = {k: v / np.linalg.norm(v) for k, v in unit.items()}
     near = {a: {b for b in unit if b != a and unit[a] @ unit[b] >= 0.95} for a in unit}
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("label", F.lit(1))
-    for block in (512, 16):
+    for block, most in ((4096, 50_000), (16, 10)):
+        monkeypatch.setattr(neardup_vectors, "LIST", most)
+        monkeypatch.setattr(neardup_vectors, "SHORT", 96 if block > 16 else 4)
         got = {r["vec_id"]: r for r in neardup_vectors.near_duplicates(df, block=block).collect()}
         assert {k: got[k]["n_links"] for k in got} == {k: len(near.get(k, ())) for k in got}
         for k in got:
