@@ -42,7 +42,7 @@ MARGIN = 6.0
 LIST = 50_000
 SHORT = 96
 #: Vectors of a block of a family and of a task, on average, and rows of a matrix product.
-BLOCK = 4096
+BLOCK = 1024
 ROWS = 512
 SEED = 20_11
 
