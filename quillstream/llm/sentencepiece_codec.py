@@ -35,8 +35,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 #: Texts in which blanks make runs or stand at an end, or that hold the marker itself, which merges with that of a blank.
 RUNS = re.compile(rf"  |^ | $|{MARK}")
-#: Chunks that a worker keeps, some 250 bytes each, 100 MB.
-CHUNKS = 400_000
+#: Chunks that a worker keeps, some 250 bytes each, 175 MB.
+CHUNKS = 700_000
 KEPT_CHARS = 48
 
 
