@@ -17,13 +17,24 @@ import numpy as np
 
 #: Entries of the tables: chunks, pieces that stay, pieces that are forgotten together. With keys of
 #: ``KEPT_CHARS`` at most and their ids an entry takes some 200 bytes, 400 at most.
-CHUNKS = 120_000
-PIECES = 60_000
-RECENT = 30_000
+CHUNKS = 400_000
+PIECES = 300_000
+RECENT = 80_000
 #: Longer chunks and pieces are not kept.
 KEPT_CHARS = 48
 
 
+#: The tables of this worker. Workers stay between stages, so other stages empty these.
+_tables: list[ChunkTable] = []
+
+
+def empty_tables() -> None:
+    """Give up what the tables of this worker hold; they learn anew when they are used again."""
+    for table in _tables:
+        for known in (table.chunks, table.stay, table.recent):
+            known.clear()
+
+
 def pack(ids: list[int]) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
@@ -37,6 +48,7 @@ class ChunkTable:
         self.chunks: dict[str, bytes] = {}
         self.stay: dict[str, bytes] = {}
         self.recent: dict[str, bytes] = {}
+        _tables.append(self)
 
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
         split = list(map(self.pieces, chunks))

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .agreement import Scheme
+from .chunkcodec import empty_tables
 from .common import bounded_batches, release, spans, stored, utf8
 from .components import components, connect_lists, union_find
 from .textkernels import LOWER, Words, mix, windows
@@ -159,6 +160,7 @@ def posted(docs: DataFrame, scheme: Scheme, halved: dict[int, int], width: int,
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), POSTED)], schema=POSTED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        empty_tables()
         held: list[tuple] = []
         size = 0
         for batch in batches:

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .chunkcodec import empty_tables
 from .common import bounded_batches, held_out, utf8
 
 LENGTH = 192
@@ -217,6 +218,7 @@ def identify(docs: DataFrame, network: Network | None = None, max_docs: int = MA
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        empty_tables()
         predictor = Predictor(shared.value)
         names = np.array(shared.value.languages, object)
         for series in texts:

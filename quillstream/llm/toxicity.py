@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .chunkcodec import empty_tables
 from .common import bounded_batches, held_out, release, spans, stored, utf8
 from .textkernels import STEP, U, mix
 
@@ -116,6 +117,7 @@ def features(data: np.ndarray, offsets: np.ndarray, model: Model | None = None,
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """feature and in how many texts of label 0 and of label 1 it is, for runs of rows."""
+    empty_tables()
     for batch in batches:
         labels = batch.column(1).to_numpy(zero_copy_only=False)
         data, offsets = utf8(batch.column(0))
@@ -226,6 +228,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        empty_tables()
         model = shared.value
         quick = quick_table(model)
         for texts in batches:
