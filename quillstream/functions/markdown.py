@@ -300,3 +300,66 @@ def is_prose(c: Column) -> Column:
 def short_or_numeric(word: Column) -> Column:
     t = strip(word)
     return (t != "") & ((F.length(t) <= 6) | t.rlike(r"^[-+]?[\d.,<>=≤≥%/()µ]+$"))
+
+
+# The notice in place of a table shown as an image, what leads a description of a table, marks of image blocks.
+TABLE_NOTICE = "⚠️ 초고밀도 표라 markdown 전사 시 왜곡·환각 발생, 원본 이미지 크롭으로 대체"
+DESCRIPTION_LEAD = "> **표 설명 (AI 정밀분석)**:"
+IMAGE_BLOCK = r"(?U)>\s*\*\*\[이미지[^\]]*\]\*\*"
+PAGE_MARK = r"(?U)<!--\s*page\s+(\d+)\s*-->"
+
+
+def oversized_figure_id(stem: Column, page: Column, number: Column) -> Column:
+    return F.format_string("%s__p%02d_table_oversized%d", stem, page, number)
+
+
+def slide_number(line: Column) -> Column:
+    """The number of a slide marker, null without one."""
+    return F.regexp_extract(line, r"(?U)Slide number:\s*(\d+)", 1).try_cast("int")
+
+
+def image_blocks(section: Column) -> Column:
+    """The marks of the image blocks that a section has."""
+    return F.regexp_extract_all(section, F.lit(IMAGE_BLOCK), F.lit(0))
+
+
+def page_excerpt(md: Column, page: Column, most: int = 6000) -> Column:
+    """The first ``most`` characters after the first marker of a page, up to the next marker; empty without one."""
+    numbers = F.transform(F.regexp_extract_all(md, F.lit(PAGE_MARK), F.lit(1)), lambda x: x.try_cast("long"))
+    at = F.array_position(numbers, page.cast("long"))
+    part = F.when(at > 0, F.element_at(F.split(md, PAGE_MARK, -1), (at + 1).cast("int"))).otherwise("")
+    return F.when(md.isNotNull(), F.substring(strip(part), 1, most))
+
+
+def block_end(body: Column, start: Column) -> Column:
+    """Characters of the body up to the end of the block that begins at ``start`` (from 1): a closed
+    HTML table, or all up to an empty line; the whole body where neither end comes."""
+    close = F.position(F.lit("</table>"), F.lower(body), start)
+    empty = F.position(F.lit("\n\n"), body, start)
+    html = F.lower(F.substr(body, start, F.lit(20))).contains("<table")
+    return F.when(html & (close > 0), close + 7).when(~html & (empty > 0), empty - 1).otherwise(F.length(body))
+
+
+def table_as_image(body: Column, marker: Column, path: Column, figure_id: Column, notice: str = TABLE_NOTICE) -> Column:
+    """(md, replaced): the block that begins with the marker becomes a notice and an image; where the
+    marker is empty or does not stand there exactly once, the body stays."""
+    times = (F.length(body) - F.length(F.replace(body, marker, F.lit("")))) / F.length(marker)
+    once = F.coalesce((F.length(marker) > 0) & (times == 1), F.lit(False))
+    start = F.position(marker, body)
+    image = F.concat(F.lit(notice + "\n\n!["), figure_id, F.lit("]("), path, F.lit(")"))
+    rest = F.substr(body, block_end(body, start) + 1)
+    md = F.concat(F.substr(body, F.lit(1), start - 1), image, rest)
+    return F.struct(F.when(once, md).otherwise(body).alias("md"), once.alias("replaced"))
+
+
+def with_description(body: Column, path: Column, description: Column, reach: int = 400) -> Column:
+    """(md, added): a description below the first link to an image, unless it is blank, the link is
+    not there or a description follows within ``reach`` characters."""
+    link = F.concat(F.lit("]("), path, F.lit(")"))
+    at = F.position(link, body)
+    end = at + F.length(link)
+    told = F.substr(body, end, F.lit(reach)).contains(DESCRIPTION_LEAD)
+    add = F.coalesce((strip(description) != "") & (at > 0) & ~told, F.lit(False))
+    block = F.concat(F.lit("\n\n" + DESCRIPTION_LEAD + " "), strip(description), F.lit("\n"))
+    md = F.concat(F.substr(body, F.lit(1), end - 1), block, F.substr(body, end))
+    return F.struct(F.when(add, md).otherwise(body).alias("md"), add.alias("added"))

@@ -222,3 +222,63 @@ def placed_blocks(spark, sf_dir):
 def line_keys(spark, sf_dir):
     lines = doc_lines(spark, sf_dir).withColumn("line", F.replace("line", F.lit("`"), F.lit("")))
     return lines.select("doc_id", "line_no", T.line_key(F.col("line")).alias("key"), T.replace_first(F.col("line"), F.lit("a"), F.lit("<a>")).alias("replaced"))
+
+
+OP = "CASE line_no % 6 WHEN 0 THEN 'l' WHEN 1 THEN 'c' WHEN 2 THEN 're' WHEN 3 THEN 'qu' WHEN 4 THEN 'm' END"
+
+
+@query(rf"""WITH {LINES} SELECT doc_id, (line_no // 24)::INTEGER AS page, (count(*) FILTER (line_no % 6 IN (0, 1)) + 4 * count(*) FILTER (line_no % 6 IN (2, 3)))::BIGINT AS vector_lines FROM lines GROUP BY ALL""")
+def vector_counts(spark, sf_dir):
+    items = doc_lines(spark, sf_dir).select("doc_id", F.expr("cast(line_no div 24 as int)").alias("page"), F.expr(OP).alias("op"))
+    return scans.vector_segments(items)
+
+
+BODY = """coalesce(text, '') || chr(10) || chr(10) || CASE doc_id % 4 WHEN 0 THEN '<TABLE id=1><tr>' || chr(10) || chr(10) || CASE WHEN doc_id % 8 = 0 THEN '</Table>' ELSE '' END || 'tail'
+    WHEN 1 THEN '| hot |' || chr(10) || '| 1 |' || CASE WHEN doc_id % 8 = 1 THEN chr(10) || chr(10) || 'tail' ELSE '' END WHEN 2 THEN 'none' ELSE '| two |' || chr(10) || '| two |' END"""
+MARKER = "CASE doc_id % 4 WHEN 0 THEN '<TABLE id' WHEN 1 THEN '| hot' WHEN 2 THEN '| absent' ELSE '| two' END"
+DESCRIPTION = "CASE WHEN doc_id % 3 = 0 THEN ' ' ELSE ' seen ' || doc_id || ' ' END"
+
+
+@query(rf"""WITH b AS (SELECT doc_id, {BODY} AS body, {MARKER} AS marker FROM documents), s AS (SELECT *, len(string_split(body, marker)) = 2 AS replaced, split_part(body, marker, 1) AS head, marker || split_part(body, marker, 2) AS block FROM b),
+    e AS (SELECT *, CASE WHEN starts_with(block, '<TABLE') THEN CASE WHEN contains(block, '</Table>') THEN substr(block, strpos(block, '</Table>') + 8) ELSE '' END
+      WHEN contains(block, chr(10) || chr(10)) THEN substr(block, strpos(block, chr(10) || chr(10))) ELSE '' END AS rest FROM s), i AS (SELECT *, '![' || 's__p' || lpad((doc_id % 120)::VARCHAR, greatest(2, length((doc_id % 120)::VARCHAR))::INTEGER, '0') || '_table_oversized' || (doc_id % 7) || '](i.png)' AS image FROM e)
+    SELECT doc_id, replaced, replaced AND doc_id % 3 <> 0 AS added,
+      CASE WHEN replaced THEN head || '{M.TABLE_NOTICE}' || chr(10) || chr(10) || image || CASE WHEN doc_id % 3 <> 0 THEN chr(10) || chr(10) || '{M.DESCRIPTION_LEAD} seen ' || doc_id || chr(10) ELSE '' END || rest ELSE body END AS md FROM i""")
+def tables_as_images(spark, sf_dir):
+    """Crowded tables become images with a description below; a second description changes nothing."""
+    i = F.col("doc_id")
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.expr(BODY).alias("body"), F.expr(MARKER).alias("marker"), F.expr(DESCRIPTION).alias("description"))
+    figure = M.oversized_figure_id(F.lit("s"), i % 120, i % 7)
+    docs = docs.withColumn("_t", M.table_as_image(F.col("body"), F.col("marker"), F.lit("i.png"), figure))
+    docs = docs.withColumn("_d", M.with_description(F.col("_t.md"), F.lit("i.png"), F.col("description")))
+    twice = M.with_description(F.col("_d.md"), F.lit("i.png"), F.col("description"))
+    return docs.select("doc_id", "_t.replaced", "_d.added", twice["md"].alias("md"))
+
+
+PAGED = "'p<!-- page 1 -->' || coalesce(text, '') || '<!--  page 02-->' || chr(10) || ' tail ' || doc_id || ' <!-- page 2 -->x'"
+
+
+@query(rf"""SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN substr({stripped("coalesce(text, '')")}, 1, 6000) WHEN 1 THEN 'tail ' || doc_id ELSE '' END AS excerpt FROM documents""")
+def page_excerpts(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.expr(PAGED).alias("md"))
+    return docs.select("doc_id", M.page_excerpt(F.col("md"), F.col("doc_id") % 3 + 1).alias("excerpt"))
+
+
+SLIDE = "CASE line_no % 4 WHEN 0 THEN '<!-- Slide number: ' || line_no || ' -->' || line WHEN 1 THEN line || '> **[이미지 ' || line_no || ']** >  **[이미지]**' WHEN 2 THEN 'Slide number: x' || line ELSE line END"
+
+
+@query(rf"""WITH {LINES} SELECT doc_id, line_no, CASE WHEN line_no % 4 = 0 AND line IS NOT NULL THEN line_no END AS slide,
+    CASE WHEN line IS NULL THEN NULL WHEN line_no % 4 = 1 THEN '> **[이미지 ' || line_no || ']**~>  **[이미지]**' ELSE '' END AS blocks FROM lines""")
+def slide_marks(spark, sf_dir):
+    line = F.expr(SLIDE)
+    return doc_lines(spark, sf_dir).where("line is not null").select("doc_id", "line_no", M.slide_number(line).alias("slide"), F.array_join(M.image_blocks(line), "~").alias("blocks"))
+
+
+SHOWN = "line_no AS xref, 0.0 AS x0, 0.0 AS y0, CAST(100 * (line_no % 7 - 1) AS DOUBLE) AS x1, CAST(10 * (doc_id % 9) AS DOUBLE) AS y1"
+
+
+@query(rf"""WITH {LINES}, i AS (SELECT doc_id, (line_no // 24)::INTEGER AS page, {SHOWN} FROM lines)
+    SELECT doc_id, page, xref FROM i WHERE xref % 5 <> 0 AND greatest(x1 - x0, 0) * greatest(y1 - y0, 0) / (600.0 * 800.0) >= 0.03""")
+def raster_rects(spark, sf_dir):
+    images = doc_lines(spark, sf_dir).selectExpr("doc_id", "cast(line_no div 24 as int) AS page", *SHOWN.split(", "), "600.0D AS pw", "800.0D AS ph")
+    return scans.raster_rects(images, images.where("xref % 5 = 0").select("doc_id", "xref")).select("doc_id", "page", "xref")

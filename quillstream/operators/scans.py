@@ -134,6 +134,12 @@ def signals(lines: DataFrame) -> DataFrame:
     )
 
 
+def vector_segments(items: DataFrame) -> DataFrame:
+    """(doc_id, page, op) → doc_id, page, vector_lines: a line or curve counts 1, a rectangle or quad 4."""
+    weight = F.when(F.col("op").isin("l", "c"), 1).when(F.col("op").isin("re", "qu"), 4).otherwise(0)
+    return items.groupBy("doc_id", "page").agg(F.sum(weight).alias("vector_lines"))
+
+
 def tiers(pages: DataFrame) -> DataFrame:
     """pages (…, vector_lines, designators, pin_rows, keywords) with tier and reason."""
     t = C.tier(F.col("vector_lines"), F.col("designators"), F.col("pin_rows"), F.col("keywords"))
@@ -191,6 +197,13 @@ def first_by_hash(images: DataFrame, least_bytes: int = 8192) -> DataFrame:
     return images.where(F.col("size") > least_bytes).withColumn("_n", rank).where("_n = 1").drop("_n")
 
 
+def raster_rects(images: DataFrame, left_out: DataFrame, cover: float = 0.03) -> DataFrame:
+    """Images (…, x0, y0, x1, y1, pw, ph) that cover so much of their page or more, without those whose
+    (doc_id, xref) is in ``left_out``, such as ``watermark_images``."""
+    area = F.greatest(F.col("x1") - F.col("x0"), F.lit(0.0)) * F.greatest(F.col("y1") - F.col("y0"), F.lit(0.0))
+    return images.where(area / (F.col("pw") * F.col("ph")) >= cover).join(left_out, ["doc_id", "xref"], "left_anti").select(*images.columns)
+
+
 def tile_groups(images: DataFrame, gap: int = 10) -> DataFrame:
     """Images of equal size whose numbers chain are tiles of one: the first of each chain stays."""
     w = Window.partitionBy("doc_id", "page", "w", "h").orderBy("xref")

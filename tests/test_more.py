@@ -76,3 +76,48 @@ def test_columns_of_a_page(spark):
     assert by_page[3] == [None] * 14  # 3 of 14 lines stand elsewhere
     assert by_page[4] == [None] * 5 and by_page[5] == [None] * 10  # too few lines; too narrow a page
     assert grouped.two_columns(lines.limit(0)).count() == 0
+
+
+def test_tables_become_images(spark):
+    rows = [
+        (1, "a\n<table><tr>\n\n</TABLE> z", "<table"),
+        (2, "a\n| x |\n| y |\n\nz", "| x"),
+        (3, "| x | x |", "x"),  # twice
+        (4, "none", "x"),
+        (5, "a\n| x |", "| x"),  # to the end of the text
+        (6, "a\n<table><tr>\n\nz", "<table"),  # never closed
+        (7, "text", ""),
+        (8, None, "x"),
+        (9, "text", None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, md string, marker string")
+    found = M.table_as_image(F.col("md"), F.col("marker"), F.lit("i.png"), F.lit("f"), "N")
+    got = {r.doc_id: (r.md, r.replaced) for r in docs.select("doc_id", found.alias("t")).select("doc_id", "t.*").collect()}
+    image = "N\n\n![f](i.png)"
+    assert got[1] == (f"a\n{image} z", True) and got[2] == (f"a\n{image}\n\nz", True)
+    assert got[5] == got[6] == (f"a\n{image}", True)
+    assert [got[k] for k in (3, 4, 7, 8, 9)] == [("| x | x |", False), ("none", False), ("text", False), (None, False), ("text", False)]
+
+    texts = [("![f](i.png) z", "d "), ("![f](i.png) z", " "), ("z", "d"), (f"](i.png)\n\n{M.DESCRIPTION_LEAD} d\n", "e"), (None, "d"), ("](i.png)", None), (f"](i.png){'x' * 400}{M.DESCRIPTION_LEAD}", "d")]
+    docs = spark.createDataFrame([(k, *r) for k, r in enumerate(texts)], "k int, md string, told string")
+    got = docs.orderBy("k").select(M.with_description(F.col("md"), F.lit("i.png"), F.col("told")).alias("d")).select("d.*").collect()
+    assert [r.added for r in got] == [True, False, False, False, False, False, True]
+    assert got[0].md == f"![f](i.png)\n\n{M.DESCRIPTION_LEAD} d\n z" and [r.md for r in got[1:6]] == [t for t, _ in texts[1:6]]
+
+
+def test_page_excerpts_and_marks(spark):
+    md = "p<!-- page 1 --> one <!--page  02 -->two<!-- page 2 -->three<!-- page 99999999999999999999 -->"
+    docs = spark.createDataFrame([(md, 1), (md, 2), (md, 3), (None, 1), ("", 1)], "md string, page int")
+    assert [r[0] for r in docs.select(M.page_excerpt(F.col("md"), F.col("page"), 2)).collect()] == ["on", "tw", "", None, ""]
+    lines = spark.createDataFrame([("<!-- Slide number: 3 -->",), ("Slide number: x",), ("Slide number:99999999999",), (None,)], "line string")
+    assert [r[0] for r in lines.select(M.slide_number(F.col("line"))).collect()] == [3, None, None, None]
+    assert spark.range(1).select(M.oversized_figure_id(F.lit("a"), F.lit(3), F.lit(1))).head()[0] == "a__p03_table_oversized1"
+
+
+def test_segments_and_rasters(spark):
+    items = spark.createDataFrame([(1, 1, o) for o in ("l", "c", "re", "qu", "m", None)] + [(1, 2, None)], "doc_id long, page int, op string")
+    assert sorted(map(tuple, scans.vector_segments(items).collect())) == [(1, 1, 10), (1, 2, 0)]
+    rows = [(1, 1, 7, 0.0, 0.0, 30.0, 10.0), (1, 1, 8, 0.0, 0.0, 29.0, 10.0), (1, 1, 9, 0.0, 0.0, 90.0, 90.0), (1, 1, 10, 90.0, 90.0, 0.0, 0.0), (2, 1, 9, 0.0, 0.0, 90.0, 90.0)]
+    images = spark.createDataFrame([(*r, 100.0, 100.0) for r in rows], "doc_id long, page int, xref long, x0 double, y0 double, x1 double, y1 double, pw double, ph double")
+    left_out = spark.createDataFrame([(1, 9)], "doc_id long, xref long")
+    assert sorted((r.doc_id, r.xref) for r in scans.raster_rects(images, left_out).collect()) == [(1, 7), (2, 9)]
