@@ -9,6 +9,10 @@ chunks and every whole text is also encoded by the sentencepiece library; ``pari
 all of a text's parts agreed. That is the whole text's parity: where no piece reaches over a blank,
 neither library can merge over one, so each gives a text the ids of its chunks.
 
+Every text's ids are decoded as a whole: the decoder's steps work on the bytes of the pieces, stated
+once for each piece. Ids whose bytes are no UTF-8 (broken runs of byte pieces) or that the vocabulary
+does not have are decoded by the tokenizers library, whose rules these are.
+
 Defined cases: null text is empty, with no ids; texts with several blanks in a row, blanks at an end
 or the marker itself are encoded whole; repeated rows are encoded each; an empty table gives no rows.
 """
@@ -35,6 +39,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
 UNIGRAM, BPE = 1, 2
 #: Texts in which blanks make runs or stand at an end, or that hold the marker itself, which merges with that of a blank.
 RUNS = re.compile(rf"  |^ | $|{MARK}")
+#: Pieces that the tokenizers library's byte fallback decodes to a byte, whatever their kind.
+BYTE_PIECE = re.compile("<0x[+0-9A-Fa-f][0-9A-Fa-f]>")
 #: Chunks that a worker keeps, some 250 bytes each, 175 MB.
 CHUNKS = 700_000
 KEPT_CHARS = 48
@@ -136,6 +142,13 @@ class ModelFile:
         return tokenizer
 
 
+def piece_bytes(piece: str | None) -> bytes:
+    """What the decoder makes of a piece before the marker in front goes: a byte, or its text with blanks for markers."""
+    if piece and BYTE_PIECE.fullmatch(piece):
+        return bytes([int(piece[3:5], 16)])
+    return (piece or "").replace(MARK, " ").encode()
+
+
 class Codec:
     """Encoder and decoder of one model file, with the chunks it has met."""
 
@@ -148,6 +161,8 @@ class Codec:
         self.reference = sentencepiece.SentencePieceProcessor(model_file=path)
         self.by_chunk = self.file.dummy_prefix and not self.file.character_map and not self.file.collapse and not self.file.reaches_over_blank()
         self.known: dict[str, tuple[bytes, bool]] = {}
+        self.pieces = [piece_bytes(self.tokenizer.id_to_token(k)) for k in range(len(self.file.pieces))]
+        self.front = b" " if self.file.dummy_prefix else b""
 
     def batch(self, texts: list[str]) -> list[tuple[bytes, bool]]:
         """(ids, parity) of whole texts, by the library's threads."""
@@ -174,7 +189,16 @@ class Codec:
         return out
 
     def decode(self, packed: list[bytes]) -> list[str]:
-        return self.tokenizer.decode_batch([np.frombuffer(x, "<u4").tolist() for x in packed], skip_special_tokens=False)
+        ids = [np.frombuffer(x, "<u4").tolist() for x in packed]
+        out, rest = [""] * len(ids), []
+        for k, own in enumerate(ids):
+            try:
+                out[k] = b"".join(map(self.pieces.__getitem__, own)).removeprefix(self.front).decode()
+            except (UnicodeDecodeError, IndexError):
+                rest.append(k)
+        for k, text in zip(rest, self.tokenizer.decode_batch([ids[k] for k in rest], skip_special_tokens=False) if rest else []):
+            out[k] = text
+        return out
 
 
 _codecs: dict[str, Codec] = {}

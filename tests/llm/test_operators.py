@@ -390,6 +390,29 @@ def test_sentencepiece_ids_where_the_marker_stands_in_the_text():
     assert [(np.frombuffer(ids, "<u4").tolist(), same) for ids, same in got] == [(reference.encode(t), True) for t in rows]
 
 
+def test_sentencepiece_decoding_is_that_of_the_library():
+    own = sentencepiece_codec.Codec(sentencepiece_codec.default_model())
+    library, asked, rng = own.tokenizer, [], random.Random(5)
+
+    class Counted:
+        def decode_batch(self, ids, **options):
+            asked.extend(ids)
+            return library.decode_batch(ids, **options)
+
+    own.tokenizer = Counted()
+    n = len(own.file.pieces)
+    single = [k for k, (_, _, kind) in enumerate(own.file.pieces) if kind == sentencepiece_codec.BYTE]
+    marks = [k for k, (piece, _, _) in enumerate(own.file.pieces) if not piece.strip(sentencepiece_codec.MARK)]
+    sound = [list(own.reference.encode(t)) for t in ["", "a b", "  a", "<s> 😀 ü\U0001f9ff\u0378", "w▁ ▁z", "\x00\t\n"]]
+    odd = [[k] for k in range(n)] + [[], [n], [n + 7, 300, n], [2**32 - 1]]
+    odd += [[rng.choice(rng.choice((single, marks, range(n)))) for _ in range(rng.randint(1, 9))] for _ in range(5000)]
+    for ids, broken in ((sound, False), (odd, True)):
+        asked.clear()
+        got = own.decode([sentencepiece_codec.pack(x) for x in ids])
+        assert got == library.decode_batch(ids, skip_special_tokens=False)
+        assert 0 < len(asked) < len(ids) if broken else not asked  # the library decodes what is broken, and that alone
+
+
 def test_unigram_models_are_rebuilt():
     piece = lambda text, score, kind: bytes([10, 2 + len(text) + 5 + 2, 10, len(text)]) + text + b"\x15" + np.float32(score).tobytes() + bytes([24, kind])
     data = piece(b"<unk>", 0, 2) + piece("▁".encode() + b"a", -1, 1) + piece(b"b", -2, 1) + bytes([18, 2, 24, 1])
