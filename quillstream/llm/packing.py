@@ -40,9 +40,11 @@ BIN_BITS, PART_BITS = 24, 33
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PIECE_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
-#: A text where a blank follows white space, or white space other than a blank ends the text or
-#: stands before a blank: the pre-tokenizer's white-space runs then reach over a blank.
-UNSAFE = re.compile(r"\s |^\s|\s$|[\x1c-\x1f]")
+#: A blank that follows white space. The blank comes first in the pattern so that the search leaps
+#: from blank to blank.
+AFTER_SPACE = re.compile(r" (?<=\s )")
+#: White space to Python only; the tokenizer takes it for symbols.
+SEPARATORS = "\x1c", "\x1d", "\x1e", "\x1f"
 
 _coders: dict[str, ChunkTable] = {}
 
@@ -63,25 +65,32 @@ def coder(path: str) -> ChunkTable:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    added = [re.escape(x.content) for x in tokenizer.get_added_tokens_decoder().values()]
-    unsafe = re.compile("|".join([UNSAFE.pattern, *added]))  # added tokens may stand anywhere in a text
+    # Added tokens may stand anywhere in a text.
+    marks = [*SEPARATORS, *(x.content for x in tokenizer.get_added_tokens_decoder().values())]
     model, letters = tokenizer.model, byte_letters()
     split = regex.compile(public_tokenizers.PATTERN)
+    packed = [packed_ids([k]) for k in range(max(tokenizer.get_vocab().values()) + 1)]
+
+    def unsafe(text: str) -> bool:
+        """Whether a blank follows white space or white space begins or ends the text: the
+        pre-tokenizer's white-space runs then reach over a blank. Marks are beyond the pieces."""
+        return text[0].isspace() or text[-1].isspace() or any(m in text for m in marks) or AFTER_SPACE.search(text) is not None
 
     def whole(text: str) -> list[int]:
         return tokenizer.encode(text, add_special_tokens=False).ids
 
-    def pieces(chunk: str) -> list[str]:
+    def parts(chunk: str) -> tuple[str, list[str]]:
         if chunk.isalpha():
-            return [" " + chunk]
+            return chunk, []
         if chunk[-1:] in {".", ","} and chunk[:-1].isalpha():
-            return [" " + chunk[:-1], chunk[-1]]
-        return split.findall(" " + chunk)
+            return chunk[:-1], [chunk[-1]]
+        first, *rest = split.findall(" " + chunk)
+        return first[1:], rest
 
-    def encode(parts: list[str]) -> list[list[int]]:
-        return [[x.id for x in model.tokenize(p.encode("utf-8").decode("latin-1").translate(letters))] for p in parts]
+    def encode(piece: str) -> bytes:
+        return b"".join([packed[x.id] for x in model.tokenize(piece.encode("utf-8").decode("latin-1").translate(letters))])
 
-    _coders[path] = ChunkTable(whole, pieces, encode, unsafe)
+    _coders[path] = ChunkTable(whole, parts, encode, unsafe)
     return _coders[path]
 
 

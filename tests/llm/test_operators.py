@@ -13,7 +13,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from quillstream.llm import chat, components, jaccard_join, langid, neardup_vectors, packing, quality, sentencepiece_codec, sharding, substring_dedup, toxicity
+from quillstream.llm import chat, chunkcodec, components, jaccard_join, langid, neardup_vectors, packing, quality, sentencepiece_codec, sharding, substring_dedup, toxicity
 
 WORD = r"[^\x20\x09-\x0D]+"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -237,6 +237,38 @@ def test_packing(spark):
     assert packing.pack_documents(empty(spark)).count() == 0
 
 
+def test_a_word_takes_one_entry_of_the_token_tables(monkeypatch):
+    monkeypatch.setattr(packing, "_coders", {})
+    monkeypatch.setattr(chunkcodec, "_tables", [])
+    coder = packing.coder(public_tokenizers.path("byte_bpe_50k.json"))
+    words = [a + b for a in "bcdfg" for b in ("ran", "tel", "omi", "ush")]
+    for text in (" ".join(["x", *words]), " ".join(["x", *words[::-1], *words])):
+        coder.encode_text(text)
+        assert sum(len(x) for x in vars(coder).values() if isinstance(x, dict)) == len(words)
+
+
+@pytest.mark.parametrize("stay, recent", [(0, 1), (9, 3), (40, 5), (1000, 10)])
+def test_token_tables_give_the_ids_of_whole_texts(monkeypatch, stay, recent):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "_coders", {})
+    monkeypatch.setattr(chunkcodec, "_tables", [])
+    monkeypatch.setattr(chunkcodec, "STAY", stay)
+    monkeypatch.setattr(chunkcodec, "RECENT", recent)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coder, tokenizer = packing.coder(path), Tokenizer.from_file(path)
+    rng = random.Random(stay)
+    parts = ["the", "The,", "é", "don't", "'s", "'", "12.5", ".", ",", "a.", "x\ny", "\n", "\n\n", "\t", "\u00a0", "\u3000", "\x85", "\x1c", "日本", "e\u0301", "q" * 60, "q" * 60 + ",", "<|endoftext|>", "***", "a1b", "²", "🙂"]
+    for k in range(400):
+        few = rng.sample(parts, rng.randint(1, len(parts)))
+        text = "".join(rng.choice(few) + rng.choice(["", " ", " ", " "] if k % 3 else [" "]) for _ in range(rng.randint(0, 30))).strip()
+        text += rng.choice(["", "", " ", "\n"])
+        assert coder.encode_text(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert len(coder.chunks) + len(coder.pieces) <= stay and len(coder.recent) <= recent and not coder.own_chunks and not coder.own_pieces
+    chunkcodec.empty_tables()
+    assert not coder.chunks and not coder.pieces and not coder.recent
+
+
 def test_bin_bounds():
     rng = np.random.default_rng(0)
     for _ in range(20):
