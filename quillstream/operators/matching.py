@@ -3,6 +3,8 @@ key (document or page), so no join is global; nearest matches are aggregates, no
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,11 +88,71 @@ def box_hits(lines: DataFrame, boxes: DataFrame, band: float = 2.0) -> DataFrame
     return lines.join(b, ["doc_id", "page"]).where(inside).select(*[F.col(c) for c in lines.columns]).distinct()
 
 
+#: Boxes of one page that are compared at once: larger pages are cut into blocks, each pair of which is a group of its own.
+BLOCK = 2048
+
+
+def _best_of(a: np.ndarray, b: np.ndarray, step: int = 128) -> tuple[np.ndarray, np.ndarray]:
+    """For each box of ``a`` the first of ``b`` (n x 4 each) of greatest IoU, and that IoU, as ``geometry.iou`` has it:
+    NaN is greater than all numbers."""
+    area = lambda x: np.maximum(0.0, x[:, 2] - x[:, 0]) * np.maximum(0.0, x[:, 3] - x[:, 1])
+    at, value, areas = np.zeros(len(a), np.int64), np.zeros(len(a)), area(b)
+    with np.errstate(all="ignore"):
+        for k in range(0, len(a), step):
+            p = a[k : k + step]
+            w, h = (np.maximum(0.0, np.fmin(p[:, j + 2, None], b[:, j + 2]) - np.maximum(p[:, j, None], b[:, j])) for j in (0, 1))
+            common = w * h
+            whole = area(p)[:, None] + areas - common
+            iou = np.where((common <= 0) | (whole <= 0), 0.0, common / whole)
+            at[k : k + step] = iou.argmax(1)
+            value[k : k + step] = np.take_along_axis(iou, at[k : k + step, None], 1)[:, 0]
+    return at, value
+
+
+def block_bests(left: DataFrame, right: DataFrame, order: list[str], take: list[str]) -> DataFrame:
+    """For each left box (doc_id, page, id, box) and each block of its page's right boxes (box, order, take) the right
+    one of largest positive IoU, the first by ``order`` (ascending) of equals: doc_id, page, id, iou, order, take.
+
+    Pairs are made in arrays of a block each; a page of many boxes is many groups, which may be anywhere. A
+    box without one of its corners fits nothing."""
+    key = ["doc_id", "page"]
+    corners = [F.col(f"box.{c}").alias(f"_{c}") for c in ("x0", "y0", "x1", "y1")]
+    whole = [f"_{c}" for c in ("x0", "y0", "x1", "y1")]
+    le = left.select(*key, "id", *corners).dropna(subset=[*key, *whole])
+    r = right.select(*key, *dict.fromkeys([*order, *take]), *corners).dropna(subset=[*key, *whole])
+    blocks = lambda df, name: df.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
+    counts = blocks(le, "_nl").join(blocks(r, "_nr"), key)
+    place = lambda n: F.pmod(F.xxhash64(*whole), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    le = le.join(counts, key).withColumn("_lb", place("_nl")).withColumn("_rb", every("_nr")).drop("_nl", "_nr")
+    r = r.join(counts, key).withColumn("_rb", place("_nr")).withColumn("_lb", every("_nl")).drop("_nl", "_nr")
+    kept = [*key, "id"]
+    taken = list(dict.fromkeys([*order, *take]))
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        if a.num_rows and b.num_rows:
+            b = b.sort_by([(c, "ascending") for c in order])
+            boxes = [np.column_stack([t.column(c).to_numpy() for c in whole]) for t in (a, b)]
+            at, iou = _best_of(*boxes)
+            hit = np.flatnonzero(~(iou <= 0))
+        else:
+            at, iou, hit = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+        out = a.select(kept).take(pa.array(hit)).append_column("iou", pa.array(iou[hit]))
+        best = b.take(pa.array(at[hit]))
+        for c in taken:
+            out = out.append_column(c, best.column(c))
+        return out
+
+    types = {f.name: f.dataType.simpleString() for f in le.schema} | {f.name: f.dataType.simpleString() for f in r.schema} | {"iou": "double"}
+    schema = ", ".join(f"`{c}` {types[c]}" for c in [*kept, "iou", *taken])
+    groups = [*key, "_lb", "_rb"]
+    r = r.select(*[F.col(c).alias(f"_g_{c}") for c in groups], *[c for c in r.columns if c not in groups])  # both sides may be of one table
+    return le.groupBy(*groups).cogroup(r.groupBy(*[f"_g_{c}" for c in groups])).applyInArrow(run, schema)
+
+
 def best_iou(left: DataFrame, right: DataFrame) -> DataFrame:
-    """For each left box (doc_id, page, id, box) the right one (other, box) of largest positive IoU."""
-    r = right.select("doc_id", "page", "other", F.col("box").alias("_box"))
-    pairs = left.join(r, ["doc_id", "page"]).withColumn("iou", G.iou(F.col("box"), F.col("_box"))).where("iou > 0")
-    best = pairs.groupBy("doc_id", "page", "id").agg(F.max(F.struct("iou", (-F.col("other")).alias("o"))).alias("b"))
+    """For each left box (doc_id, page, id, box) the right one (other, box) of largest positive IoU, the least of equals."""
+    best = block_bests(left, right, ["other"], []).groupBy("doc_id", "page", "id").agg(F.max(F.struct("iou", (-F.col("other")).alias("o"))).alias("b"))
     return best.select("doc_id", "page", "id", (-F.col("b.o")).alias("other"), "b.iou")
 
 
