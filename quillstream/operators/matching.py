@@ -111,7 +111,8 @@ def _best_of(a: np.ndarray, b: np.ndarray, step: int = 128) -> tuple[np.ndarray,
 
 def block_bests(left: DataFrame, right: DataFrame, order: list[str], take: list[str]) -> DataFrame:
     """For each left box (doc_id, page, id, box) and each block of its page's right boxes (box, order, take) the right
-    one of largest positive IoU, the first by ``order`` (ascending) of equals: doc_id, page, id, iou, order, take.
+    one of largest positive IoU, the first by ``order`` (ascending) of equals: doc_id, page, id, iou, order, take
+    (columns of ``right``, or _x0, _y0, _x1, _y1 of its box).
 
     Pairs are made in arrays of a block each; a page of many boxes is many groups, which may be anywhere. A
     box without one of its corners fits nothing."""
@@ -119,7 +120,8 @@ def block_bests(left: DataFrame, right: DataFrame, order: list[str], take: list[
     corners = [F.col(f"box.{c}").alias(f"_{c}") for c in ("x0", "y0", "x1", "y1")]
     whole = [f"_{c}" for c in ("x0", "y0", "x1", "y1")]
     le = left.select(*key, "id", *corners).dropna(subset=[*key, *whole])
-    r = right.select(*key, *dict.fromkeys([*order, *take]), *corners).dropna(subset=[*key, *whole])
+    taken = list(dict.fromkeys([*order, *take]))
+    r = right.select(*key, *[c for c in taken if c not in whole], *corners).dropna(subset=[*key, *whole])
     blocks = lambda df, name: df.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
     counts = blocks(le, "_nl").join(blocks(r, "_nr"), key)
     place = lambda n: F.pmod(F.xxhash64(*whole), F.col(n)).cast("int")
@@ -127,7 +129,6 @@ def block_bests(left: DataFrame, right: DataFrame, order: list[str], take: list[
     le = le.join(counts, key).withColumn("_lb", place("_nl")).withColumn("_rb", every("_nr")).drop("_nl", "_nr")
     r = r.join(counts, key).withColumn("_rb", place("_nr")).withColumn("_lb", every("_nl")).drop("_nl", "_nr")
     kept = [*key, "id"]
-    taken = list(dict.fromkeys([*order, *take]))
 
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
         if a.num_rows and b.num_rows:
@@ -159,10 +160,10 @@ def best_iou(left: DataFrame, right: DataFrame) -> DataFrame:
 def snap(detected: DataFrame, evidence: DataFrame, least: float = 0.15, by: float = 16.0) -> DataFrame:
     """Detected boxes (doc_id, page, id, box, pw, ph) moved to the evidence (kind, rank, box) that fits
     best (raster before vector, then rank), padded; those without keep their own, padded."""
-    e = evidence.select("doc_id", "page", F.col("box").alias("_box"), "kind", "rank")
-    pairs = detected.join(e, ["doc_id", "page"]).withColumn("_iou", G.iou(F.col("box"), F.col("_box"))).where(F.col("_iou") >= least)
-    order = F.struct("_iou", (F.col("kind") == "raster").alias("r"), (-F.col("rank")).alias("k"))
-    best = pairs.groupBy("doc_id", "page", "id").agg(F.max_by(F.struct("_box", "kind", "_iou"), order).alias("b"))
+    e = evidence.withColumn("_plain", F.when(F.col("kind") == "raster", 0).when(F.col("kind").isNotNull(), 1).otherwise(2))
+    bests = block_bests(detected, e, ["_plain", "rank"], ["kind", "_x0", "_y0", "_x1", "_y1"]).where(F.col("iou") >= least)
+    found = F.struct(G.box("_x0", "_y0", "_x1", "_y1").alias("_box"), "kind", F.col("iou").alias("_iou"))
+    best = bests.groupBy("doc_id", "page", "id").agg(F.max_by(found, F.struct("iou", -F.col("_plain"), -F.col("rank"))).alias("b"))
     out = detected.join(best, ["doc_id", "page", "id"], "left")
     chosen = F.when(F.col("b").isNotNull(), G.pad(F.col("b._box"), by, F.col("pw"), F.col("ph"))).otherwise(G.pad(F.col("box"), by, F.col("pw"), F.col("ph")))
     return out.select("doc_id", "page", "id", chosen.alias("box"), F.coalesce("b.kind", F.lit("model")).alias("source"), F.bround("b._iou", 3).alias("iou"))
