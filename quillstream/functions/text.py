@@ -12,16 +12,20 @@ STOPWORDS = (
 ).split()
 
 
+#: What (?U)\s matches, for trimming: a pattern would be tried at every character.
+SPACE = "\t\n\u000b\f\r \u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(SPACE))
 
 
 def lstrip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+", "")
+    return F.ltrim(c, F.lit(SPACE))
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\s+$", "")
+    return F.rtrim(c, F.lit(SPACE))
 
 
 def indent(c: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.markdown import is_fence, page_number
-from ..functions.text import one_break
+from ..functions.text import blank, one_break, strip
 
 
 def by_doc(*more: str):
@@ -59,7 +59,7 @@ def rewrite(lines: DataFrame, changed: Column) -> DataFrame:
 
 def neighbours(lines: DataFrame) -> DataFrame:
     """previous and next line, and the nearest that are not blank (empty text where there is none)."""
-    shown = F.when(F.trim(F.regexp_replace("line", r"(?U)\s+", " ")) != "", F.regexp_replace("line", r"(?U)^\s+|\s+$", ""))
+    shown = F.when(~blank(F.col("line")), strip(F.col("line")))
     return lines.withColumns(
         {
             "line_before": F.lag("line").over(by_doc()),
