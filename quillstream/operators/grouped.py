@@ -4,9 +4,11 @@ but for ``two_columns``, which is windows. Groups are documents or pages, never
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,28 +27,59 @@ def equal_streaks(keys: list[str], lag: int) -> np.ndarray:
 
 def repeated_runs(keys: list[str]) -> np.ndarray:
     """Which blocks repeat the run of two or more right before them; longest runs first."""
-    gone = np.zeros(len(keys), bool)
-    for size in range(len(keys) // 2, 1, -1):
-        streak = equal_streaks(keys, size)
+    n, known = len(keys), {}
+    code = np.array([known.setdefault(k, len(known)) for k in keys], np.int64)
+    gone, shown = np.zeros(n, bool), code != known.get("", -1)
+    if len(known) == n:
+        return gone
+    for size in range(n // 2, 1, -1):
+        same = (code[:-size] == code[size:]) & shown[:-size]
+        if np.count_nonzero(same) < size:  # no run of this size
+            continue
+        stop = np.where(same, n, np.arange(n - size))
+        streak = np.minimum(np.minimum.accumulate(stop[::-1])[::-1], n - size) - np.arange(n - size)
+        before = np.concatenate([[0], np.cumsum(gone)])
+        at = np.flatnonzero(streak >= size)
+        at = at[before[at + 2 * size] == before[at]]
         k = 0
-        while k < len(streak):
-            if streak[k] >= size and not gone[k : k + 2 * size].any():
-                gone[k + size : k + 2 * size] = True
-                k += 2 * size
-            else:
-                k += 1
+        while k < len(at):
+            gone[at[k] + size : at[k] + 2 * size] = True
+            k = np.searchsorted(at, at[k] + 2 * size)
     return gone
 
 
 def drop_repeated_runs(blocks: DataFrame) -> DataFrame:
-    """Blocks (doc_id, block_no, text) without immediate repeats of runs of two blocks or more."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("block_no")
-        keys = [_squeeze(x) for x in pdf["text"]]
-        return pdf[~repeated_runs(keys)] if len(keys) >= 4 else pdf
-
-    return blocks.groupBy("doc_id").applyInPandas(run, blocks.schema)
+    """Blocks (doc_id, block_no, text) without immediate repeats of runs of two blocks or more. Rows stream
+    by in order, a document at a time."""
+    schema = blocks.schema
+
+    def kept(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        docs, mask, first = rows.column("doc_id").to_pylist(), [], 0
+        keys = [_squeeze(x) for x in rows.column("text").to_pylist()]
+        for k in range(1, len(docs) + 1):
+            if k == len(docs) or docs[k] != docs[first]:
+                mask.extend((~repeated_runs(keys[first:k])).tolist() if k - first >= 4 else [True] * (k - first))
+                first = k
+        yield from rows.filter(pa.array(mask, pa.bool_())).to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # of the last document, which may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            docs = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
+            if held and docs[-1] == held[0].column("doc_id")[0].as_py():
+                held.append(batch)
+                continue
+            begin = next((k + 1 for k in range(len(docs) - 1, -1, -1) if docs[k] != docs[-1]), 0)
+            done = [*held, batch.slice(0, begin)]
+            if sum(x.num_rows for x in done):
+                yield from kept(pa.Table.from_batches(done))
+            held = [batch.slice(begin)]
+        if held:
+            yield from kept(pa.Table.from_batches(held))
+
+    return blocks.repartition("doc_id").sortWithinPartitions("doc_id", "block_no").mapInArrow(run, schema)
 
 
 def page_repeat(lines: list[str], least: int = 3, least_chars: int = 200) -> tuple[int, int] | None:
