@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,14 +23,34 @@ def line_repetition(docs: DataFrame, text: str = "md") -> DataFrame:
     return docs.select("doc_id").join(most, "doc_id", "left").select("doc_id", F.coalesce("max_rep", F.lit(0)).cast("long").alias("max_rep"))
 
 
+#: Where ``one_break`` puts a break; of white space, Python splits at one character that is none for (?U)\s.
+BREAKS = re.compile("[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]")
+NO_SPACE = "\x1f"
+
+
+def most_grams(text: str | None, size: int, least_chars: int) -> int:
+    """The most repeats of an n-gram with a letter within one line of so many characters."""
+    best = 0
+    for line in BREAKS.split(text or ""):
+        if len(line) < least_chars:
+            continue
+        words = line.split() if NO_SPACE not in line else [w for w in re.split(f"[{T.SPACE}]+", line) if w]
+        for gram, n in Counter(zip(*(words[k:] for k in range(size)))).items():
+            if n > best and any(c.isalpha() for w in gram for c in w):
+                best = n
+    return best
+
+
 def ngram_repetition(docs: DataFrame, text: str = "md", size: int = 3, least_chars: int = 1000) -> DataFrame:
-    """doc_id, max_gram: the most repeats of an n-gram with a letter within one long line."""
-    long = explode_lines(docs, text, all_breaks=True).where(F.length("line") >= least_chars)
-    words = F.filter(F.split(T.strip(F.col("line")), r"(?U)\s+"), lambda w: w != "")
-    grams = F.transform(F.sequence(F.lit(1), F.size("w") - (size - 1)), lambda k: F.array_join(F.slice("w", k, F.lit(size)), " "))
-    rows = long.withColumn("w", words).where(F.size("w") >= size).select("doc_id", "line_no", F.explode(grams).alias("gram")).where(F.col("gram").rlike(r"\p{L}"))
-    most = rows.groupBy("doc_id", "line_no", F.xxhash64("gram").alias("h"), F.length("gram").alias("n")).count().groupBy("doc_id").agg(F.max("count").alias("max_gram"))
-    return docs.select("doc_id").join(most, "doc_id", "left").select("doc_id", F.coalesce("max_gram", F.lit(0)).cast("long").alias("max_gram"))
+    """doc_id, max_gram: the most repeats of an n-gram with a letter within one long line. A line is counted
+    where its row is: nothing is shuffled."""
+
+    @F.pandas_udf("long")
+    def most(texts: pd.Series) -> pd.Series:
+        return pd.Series([most_grams(t, size, least_chars) for t in texts], dtype="int64")
+
+    long = F.when(F.length(text) >= least_chars, F.col(text))
+    return docs.select("doc_id", F.when(long.isNotNull(), most(long)).otherwise(F.lit(0).cast("long")).alias("max_gram"))
 
 
 def degenerate(docs: DataFrame, text: str = "md", lines: int = 5, grams: int = 20) -> DataFrame:

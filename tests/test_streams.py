@@ -37,3 +37,25 @@ def test_repeated_runs_stream_by(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert set(got) == want and len(got) == len(want) < len(rows) - 100
     assert "FlatMapGroups" not in plan(kept)
+
+
+def test_ngram_repetition_shuffles_nothing(spark):
+    from collections import Counter
+
+    from quillstream.operators import scans
+
+    r = random.Random(7)
+    words = ["a", "b", "é", "1", "22", "-", "x\x1fy", "字"]
+    texts = ["".join(r.choice(words) + r.choice([" ", "  ", "　", "\t", " ", " \x1f "]) for _ in range(400)) + r.choice(["", "\n", "\x85", "\r\n"]) + "1 2 3 " * r.choice([1, 300]) for _ in range(60)]
+    texts += [None, "", "1 2 3 " * 400, "a b " * 240, "a b c\n" * 400]
+    want = {}
+    for k, t in enumerate(texts):
+        best = 0
+        for line in scans.re.split("[\n\x85]", (t or "").replace("\r\n", "\n")):
+            w = [x for x in scans.re.split("[ \t　 ]+", line) if x]
+            grams = Counter(" ".join(w[j : j + 3]) for j in range(len(w) - 2)) if len(line) >= 1000 else {}
+            best = max([best, *(n for g, n in grams.items() if scans.re.search(r"[^\W\d_]", g))])
+        want[k] = best
+    out = scans.ngram_repetition(spark.createDataFrame(list(enumerate(texts)), "doc_id long, md string"))
+    assert {x["doc_id"]: x["max_gram"] for x in out.collect()} == want and len(set(want.values())) > 3
+    assert "Exchange" not in plan(out)
