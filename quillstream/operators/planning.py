@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,18 +42,25 @@ def join_chunks(chunks: DataFrame) -> DataFrame:
 
 def pack_blocks(blocks: DataFrame, most: int, joint: int = 2) -> DataFrame:
     """(doc_id, block_no, n_chars) → doc_id, block_no, chunk: blocks in order, a new chunk where the
-    next would not fit; a block that is too large stands alone."""
-    ordered = blocks.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("block_no", "n_chars"))).alias("b"))
-    none = F.filter(F.transform("b", lambda x: F.struct(x["block_no"].alias("block_no"), F.lit(0).alias("chunk"))), lambda x: F.lit(False))
-    start = F.struct(F.lit(0).cast("long").alias("used"), F.lit(-1).alias("chunk"), none.alias("out"))
-
-    def step(acc, x):
-        new = (acc["chunk"] < 0) | (acc["used"] + x["n_chars"] > most)
-        chunk = acc["chunk"] + F.when(new, 1).otherwise(0)
-        used = F.when(new, F.lit(0).cast("long")).otherwise(acc["used"]) + x["n_chars"] + joint
-        return F.struct(used.cast("long").alias("used"), chunk.alias("chunk"), F.concat(acc["out"], F.array(F.struct(x["block_no"].alias("block_no"), chunk.alias("chunk")))).alias("out"))
-
-    return ordered.select("doc_id", F.explode(F.aggregate("b", start, step)["out"]).alias("o")).select("doc_id", "o.block_no", "o.chunk")
+    next would not fit; a block that is too large stands alone. Rows stream by in order, and no more is
+    kept of a document than its last chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc, used, chunk = object(), 0, -1
+        for batch in batches:
+            out = []
+            for d, n in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                if d != doc:
+                    doc, used, chunk = d, 0, -1
+                if chunk < 0 or (used is not None and n is not None and used + n > most):
+                    used, chunk = 0, chunk + 1
+                used = None if used is None or n is None else used + n + joint
+                out.append(chunk)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.int32())], ["doc_id", "block_no", "chunk"])
+
+    rows = blocks.select("doc_id", "block_no", "n_chars").repartition("doc_id").sortWithinPartitions("doc_id", "block_no", "n_chars")
+    types = {f.name: f.dataType.simpleString() for f in rows.schema}
+    return rows.mapInArrow(run, f"doc_id {types['doc_id']}, block_no {types['block_no']}, chunk int")
 
 
 def boundaries(toc: DataFrame, deepest: int = 3) -> DataFrame:

@@ -59,3 +59,21 @@ def test_ngram_repetition_shuffles_nothing(spark):
     out = scans.ngram_repetition(spark.createDataFrame(list(enumerate(texts)), "doc_id long, md string"))
     assert {x["doc_id"]: x["max_gram"] for x in out.collect()} == want and len(set(want.values())) > 3
     assert "Exchange" not in plan(out)
+
+
+def test_packed_blocks_stream_by(spark):
+    from quillstream.operators import planning
+
+    r = random.Random(9)
+    rows = [(k % 5 if k % 5 else None, k, r.choice([0, 1, 3, 9, 10, 11, 40])) for k in range(3000)] + [(9, 1, 4), (9, 2, None), (9, 3, 40)]
+    want, state = {}, {}
+    for d, k, n in rows:
+        used, chunk = state.get(d, (0, -1))
+        if chunk < 0 or (used is not None and n is not None and used + n > 10):
+            used, chunk = 0, chunk + 1
+        state[d] = (None if used is None or n is None else used + n + 2, chunk)
+        want[d, k] = chunk
+    r.shuffle(rows)
+    out = planning.pack_blocks(spark.createDataFrame(rows, "doc_id long, block_no long, n_chars int"), 10)
+    assert {(x["doc_id"], x["block_no"]): x["chunk"] for x in out.collect()} == want
+    assert out.schema["chunk"].dataType.simpleString() == "int" and "collect_list" not in plan(out)
